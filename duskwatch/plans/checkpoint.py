@@ -1,0 +1,26 @@
+"""Cutting lineage through the shared checkpoint folder."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Use the folder the cluster names; fall back to a local one only in local mode."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is not None:
+        return
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="duskwatch-checkpoint-")
+    sc.setCheckpointDir(named)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and read back from reliable storage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
