@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .numbers import floor_div
@@ -21,15 +21,38 @@ RFC3339_SHAPE = r"^(\d{4})-(\d{2})-(\d{2})T(\d{1,2}):(\d{2}):(\d{2})(\.\d+)?(?:Z
 MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 
+class Captured:
+    """The groups of one pattern match, held in an array column; ``[0]`` is the first group."""
+
+    def __init__(self, parts: Column):
+        self.parts = parts
+
+    def __getitem__(self, i: int) -> Column:
+        return F.get(self.parts, F.lit(i + 1))
+
+    @property
+    def matched(self) -> Column:
+        return self[0].isNotNull()
+
+
 def capture(text: Column, pattern: str, groups: int) -> Column:
-    """All groups of an anchored pattern as an array, from a single regex pass.
+    """All groups of an anchored pattern from a single regex pass, to be read by ``Captured``.
 
-    NULL when the pattern does not match.  A newline separates the groups,
-    which is safe because a log line holds none.
+    The groups follow an empty first element; a text without a match stays in
+    one piece.  A newline separates the groups, as a log line holds none.
     """
     swap = "".join(f"\n${i}" for i in range(1, groups + 1))
-    swapped = F.regexp_replace(text, F.lit(pattern), F.lit(swap))
-    return F.when(swapped.startswith("\n"), F.split(F.substring(swapped, 2, 2**31 - 1), "\n"))
+    return F.split(F.regexp_replace(text, F.lit(pattern), F.lit(swap)), "\n")
+
+
+def bind(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are computed once, whatever reads them later.
+
+    Plain projections are merged into later filters and expressions, which
+    would repeat a regex per use.  Predicates on generated columns stay above
+    the generator.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
 def _civil_micros(y: Column, mo: Column, d: Column, h: Column, mi: Column, s: Column) -> Column:
@@ -50,10 +73,10 @@ class Clock:
 
     shape: str
     groups: int
-    micros: Callable[[Column, Column], Column]
+    micros: Callable[[Captured, Column], Column]
 
 
-def _syslog(part: Column, year: Column) -> Column:
+def _syslog(part: Captured, year: Column) -> Column:
     slot = F.instr(F.lit(MONTHS), F.lower(part[0]))
     month = F.when(F.pmod(slot, F.lit(3)) == 1, ((slot + 2) / 3).cast("int"))
     day, hour = part[1].cast("int"), part[2].cast("int")
@@ -63,7 +86,7 @@ def _syslog(part: Column, year: Column) -> Column:
     return at + F.when(leap_day, F.lit(DAY)).otherwise(F.lit(0))
 
 
-def _rfc3339(part: Column, year: Column) -> Column:
+def _rfc3339(part: Captured, year: Column) -> Column:
     at = _civil_micros(*[part[i].cast("int") for i in range(6)])
     fraction = F.when(part[6] == "", 0).otherwise(F.rpad(F.substring(part[6], 2, 6), 6, "0").cast("long"))
     behind = F.when(part[7] == "", 0).otherwise(part[7].cast("long") * HOUR + part[8].cast("long") * MINUTE)
@@ -78,7 +101,7 @@ RFC3339_CLOCK = Clock(RFC3339_SHAPE, 9, _rfc3339)
 
 def clock_micros(text: Column, clock: Clock, year: Column | int | None = None) -> Column:
     """Text to microseconds, NULL when malformed."""
-    return clock.micros(capture(text, clock.shape, clock.groups), year_column(year))
+    return clock.micros(Captured(capture(text, clock.shape, clock.groups)), year_column(year))
 
 
 def year_column(year: Column | int | None) -> Column:

@@ -25,7 +25,7 @@ def ipv4_number(text: str) -> int:
 
 def ipv4_to_long(ip: Column) -> Column:
     """Dotted quad to BIGINT, NULL when it is not a valid IPv4 address."""
-    parts = F.transform(F.split(ip, r"\."), lambda p: p.cast("long"))
+    parts = F.transform(F.split(ip, r"\."), lambda p: p.try_cast("long"))
     valid = ip.rlike(IPV4_SHAPE)
     number = F.aggregate(parts, F.lit(0).cast("long"), lambda acc, p: acc * 256 + p)
     return F.when(valid, F.when(F.forall(parts, lambda p: p <= 255), number))

@@ -12,6 +12,7 @@ from ..functions.clock import HOUR, MINUTE
 from ..functions.numbers import floor_div
 from ..functions.text import contains_any, fields, first_field_with_prefix
 from ..schema import ACCEPTED_LOGIN, PROCESS, micros
+from ..sources.checkpoint import checkpointed
 from .asof import consume_once, latest_before
 
 # Commands and paths the chains look for.
@@ -210,7 +211,8 @@ def download_execute_hits(events: DataFrame, window_us: int = EXECUTE_WINDOW) ->
         F.col("opener.seq").alias("dseq"),
     )
     per_command = Window.partitionBy("host", "us", "seq")
-    counted = pairs.withColumn("options", F.count(F.lit(1)).over(per_command))
+    # Real matches only; read several times below.
+    counted = checkpointed(pairs.withColumn("options", F.count(F.lit(1)).over(per_command)))
     item = ["host", "path", "dus", "dseq"]
     row = F.struct("us", "seq", "source", "command")
     # A download is gone after its first single-option command, so later commands never get it.
@@ -219,14 +221,18 @@ def download_execute_hits(events: DataFrame, window_us: int = EXECUTE_WINDOW) ->
         .groupBy(*item)
         .agg(F.min_by(row, F.struct("us", "seq")).alias("one"))
     )
+    single = firsts.select(*item, "one.*")
+    result = ["host", "us", "seq", "source", "command", "path", (F.col("us") - F.col("dus")).alias("gap_us")]
+    if counted.where(F.col("options") > 1).isEmpty():
+        return single.select(*result)
     rivals = (
         counted.where(F.col("options") > 1)
         .join(firsts, item, "left")
         .where(F.col("one").isNull() | (F.struct("us", "seq") < F.struct("one.us", "one.seq")))
         .select(*item, "us", "seq", "source", "command")
     )
+    rivals = checkpointed(rivals)
     contested = rivals.select(*item).distinct()
-    single = firsts.select(*item, "one.*")
     plain = single.join(contested, item, "left_anti").select(
         "host", "path", "us", "seq", "source", "command", "dus"
     )
@@ -255,6 +261,4 @@ def download_execute_hits(events: DataFrame, window_us: int = EXECUTE_WINDOW) ->
             "host string, path string, us long, seq long, source string, command string, dus long",
         )
     )
-    return plain.unionByName(settled).select(
-        "host", "us", "seq", "source", "command", "path", (F.col("us") - F.col("dus")).alias("gap_us")
-    )
+    return plain.unionByName(settled).select(*result)

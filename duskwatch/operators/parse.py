@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clock import RFC3339_CLOCK, SYSLOG_CLOCK, Clock, capture, year_column
+from ..functions.clock import RFC3339_CLOCK, SYSLOG_CLOCK, Captured, Clock, bind, capture, year_column
 from ..functions.text import strip
 from ..schema import ACCEPTED_LOGIN, EXTRA_TYPE, FAILED_LOGIN, META_KEYS, PROCESS, conform
 
@@ -33,16 +33,16 @@ PROCESS_SOURCE = "127.0.0.1"
 class LineParser:
     """One log format.
 
-    ``groups`` maps a line to an array of captured texts, NULL when the line
-    is not of this format; the other members read that array.
+    ``groups`` maps a line to a ``capture`` column; the other members read the
+    captured groups.
     """
 
     event_type: str
     groups: Callable[[Column], Column]
-    stamp: Callable[[Column], Column]
+    stamp: Callable[[Captured], Column]
     clock: Clock
-    source: Callable[[Column], Column]
-    metadata: dict[str, Callable[[Column], Column]] = field(default_factory=dict)
+    source: Callable[[Captured], Column]
+    metadata: dict[str, Callable[[Captured], Column]] = field(default_factory=dict)
 
 
 def _guarded(marker: str, pattern: str, n: int) -> Callable[[Column], Column]:
@@ -95,9 +95,9 @@ def parse_lines(
     Row-local: one projection, no shuffle; works on batch and streaming input.
     """
     line = F.col("line")
-    staged = lines.withColumns({f"_g{i}": p.groups(line) for i, p in enumerate(parsers)})
-    groups = [F.col(f"_g{i}") for i in range(len(parsers))]
-    winner = F.coalesce(*[F.when(g.isNotNull(), F.lit(i)) for i, g in enumerate(groups)])
+    staged = bind(lines, {f"_g{i}": p.groups(line) for i, p in enumerate(parsers)})
+    groups = [Captured(F.col(f"_g{i}")) for i in range(len(parsers))]
+    winner = F.coalesce(*[F.when(g.matched, F.lit(i)) for i, g in enumerate(groups)])
     staged = staged.withColumn("_w", winner)
 
     def pick(values: dict[int, Column], kind: str = "string") -> Column:
@@ -118,37 +118,43 @@ def parse_lines(
         pairs = F.array(*[F.struct(F.lit(k).alias("key"), meta_cols[k].alias("value")) for k in extra])
         extra_map = F.map_from_entries(F.filter(pairs, lambda e: e["value"].isNotNull()))
 
-    parsed = staged.select(
-        "seq",
-        "host",
-        "line",
-        "_w",
-        pick({i: p.stamp(g) for i, (p, g) in enumerate(zip(parsers, groups))}).alias("_stamp"),
-        pick({i: F.lit(p.event_type) for i, p in enumerate(parsers)}).alias("event_type"),
-        pick({i: p.source(g) for i, (p, g) in enumerate(zip(parsers, groups))}).alias("source"),
-        *[meta_cols[k].alias(k) for k in META_KEYS if k in keys],
-        extra_map.alias("extra"),
-    )
-    # The stamp is taken apart once per format, in a projection of its own.
+    # The stamp is taken apart once per format, in a step of its own.
+    stamp = pick({i: p.stamp(g) for i, (p, g) in enumerate(zip(parsers, groups))})
     clocks = list(dict.fromkeys(p.clock for p in parsers))
-    owners = {j: [i for i, p in enumerate(parsers) if p.clock == clock] for j, clock in enumerate(clocks)}
-    parsed = parsed.withColumns(
+    owners = [[i for i, p in enumerate(parsers) if p.clock == clock] for clock in clocks]
+    parts = {
+        f"_t{j}": F.when(F.col("_w").isin(owners[j]), capture(stamp, clock.shape, clock.groups))
+        for j, clock in enumerate(clocks)
+    }
+    parsed = bind(
+        staged,
         {
-            f"_t{j}": F.when(F.col("_w").isin(owners[j]), capture(F.col("_stamp"), clock.shape, clock.groups))
-            for j, clock in enumerate(clocks)
-        }
+            **parts,
+            "event_type": pick({i: F.lit(p.event_type) for i, p in enumerate(parsers)}),
+            "source": pick({i: p.source(g) for i, (p, g) in enumerate(zip(parsers, groups))}),
+            **{k: meta_cols[k] for k in META_KEYS if k in keys},
+            "extra": extra_map,
+        },
     )
     year = year_column(assumed_year)
-    us = F.coalesce(*[clock.micros(F.col(f"_t{j}"), year) for j, clock in enumerate(clocks)])
-    parsed = parsed.withColumn("_us", us)
+    us = F.coalesce(*[clock.micros(Captured(F.col(f"_t{j}")), year) for j, clock in enumerate(clocks)])
+    timed = bind(parsed, {"_us": us})
     disposition = (
         F.when(line == "", "blank")
         .when(F.col("_w").isNull(), "ignored")
         .when(F.col("_us").isNull(), "error")
         .otherwise("event")
     )
-    return parsed.withColumns({"disposition": disposition, "ts": F.timestamp_micros("_us")}).drop(
-        "_w", "_us", "_stamp", *[f"_t{j}" for j in range(len(clocks))]
+    return timed.select(
+        "seq",
+        "host",
+        "line",
+        disposition.alias("disposition"),
+        F.timestamp_micros("_us").alias("ts"),
+        "event_type",
+        "source",
+        *[k for k in META_KEYS if k in keys],
+        "extra",
     )
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import MINUTE, SECOND
 from ..functions.numbers import floor_div
 from ..schema import ACCEPTED_LOGIN, FAILED_LOGIN, PROCESS, micros
+from ..sources.checkpoint import checkpointed
 from .cooldown import pick_with_cooldown
 
 
@@ -177,11 +178,17 @@ def rapid_process_hits(events: DataFrame, params: RapidParams = RapidParams()) -
             F.col("first.source").alias("source"),
         )
     )
-    picked = pick_with_cooldown(counted, "host", "us", params.cooldown_us)
-    on_first = picked.where(F.col("nth") == 1).drop("nth")
-    # A burst that crosses the threshold within one timestamp: find the row itself.
-    later = picked.where(F.col("nth") > 1).select("host", "us", F.col("nth").cast("int").alias("rn"), "process_count")
-    in_time = Window.partitionBy("host", "us").orderBy("seq")
-    heads = starts.withColumn("rn", F.row_number().over(in_time)).where(F.col("rn") <= k)
-    on_later = heads.join(later, ["host", "us", "rn"]).select("host", "us", "process_count", "seq", "source")
-    return on_first.unionByName(on_later).withColumn("window_us", F.lit(span).cast("long"))
+    # At most one row per host and cooldown.
+    picked = checkpointed(pick_with_cooldown(counted, "host", "us", params.cooldown_us))
+    within = F.col("nth") > 1
+    if picked.where(within).isEmpty():
+        rows = picked.drop("nth")
+    else:
+        # A burst that crosses the threshold within one timestamp: find the row itself.
+        in_time = Window.partitionBy("host", "us").orderBy("seq")
+        heads = starts.withColumn("rn", F.row_number().over(in_time)).where(F.col("rn") <= k)
+        later = picked.where(within).select("host", "us", F.col("nth").cast("int").alias("rn"), "process_count")
+        rows = picked.where(~within).drop("nth").unionByName(
+            heads.join(later, ["host", "us", "rn"]).select("host", "us", "process_count", "seq", "source")
+        )
+    return rows.withColumn("window_us", F.lit(span).cast("long"))

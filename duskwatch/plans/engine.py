@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import chains, stateless
 from ..operators import thresholds as th
+from ..sources.checkpoint import checkpointed
 from . import alerts as fmt
 
 
@@ -28,14 +29,18 @@ class DetectionContext:
     execute_window_us: int = chains.EXECUTE_WINDOW
     account_window_us: int = chains.NEW_ACCOUNT_WINDOW
     escalation_window_us: int = chains.ESCALATION_WINDOW
+    # Set when several detectors read the same hits, which are then computed once.
+    share: bool = False
 
     @cached_property
     def brute_force(self) -> DataFrame:
-        return th.failed_login_hits(self.events, self.failed_login)
+        hits = th.failed_login_hits(self.events, self.failed_login)
+        return checkpointed(hits) if self.share else hits
 
     @cached_property
     def new_countries(self) -> DataFrame:
-        return th.new_country_hits(self.events)
+        hits = th.new_country_hits(self.events)
+        return checkpointed(hits) if self.share else hits
 
 
 Detector = Callable[[DetectionContext], DataFrame]
@@ -111,6 +116,7 @@ def _escalation(ctx: DetectionContext) -> DataFrame:
 def detect(ctx: DetectionContext, names: list[str] | None = None) -> DataFrame:
     """Alerts of the named detectors, or of all of them, as one bag."""
     chosen = DETECTORS if names is None else {n: DETECTORS[n] for n in names}
+    ctx.share = ctx.share or len(chosen) > 1
     return reduce(DataFrame.unionByName, [fn(ctx) for fn in chosen.values()])
 
 

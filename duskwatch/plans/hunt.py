@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import SECOND
 from ..functions.text import search_tokens
 from ..schema import FAILED_LOGIN, KEYWORD_KEYS, PROCESS, meta, micros
-from .checkpoint import checkpointed
+from ..sources.checkpoint import checkpointed
 
 ROW_KEYS = ("process_name", "command", "pid", "ppid", "uid")
 DEFAULT_HITS = 10
@@ -117,9 +117,9 @@ def latest_per_pid(events: DataFrame, by_host: bool = False) -> DataFrame:
 
 
 def process_ancestry_all(
-    events: DataFrame, max_depth: int = MAX_DEPTH, by_host: bool = False
+    events: DataFrame, max_depth: int = MAX_DEPTH, by_host: bool = False, pid: str | None = None
 ) -> DataFrame:
-    """The ancestor list of every pid: (start_pid, depth, row), child first, depth from 0.
+    """The ancestor list of every pid, or of one: (start_pid, depth, row), child first, depth from 0.
 
     A walk goes from a pid to the parent of its newest event and ends at a
     root pid, an unknown pid or ``max_depth`` rows; a cycle runs to the limit.
@@ -134,7 +134,8 @@ def process_ancestry_all(
     jump = checkpointed(
         latest.select(*host, "pid", F.col("row.ppid").alias("to_pid")).join(known, [*host, "to_pid"])
     )
-    walk = latest.select(*host, F.col("pid").alias("start_pid"), F.col("pid").alias("at_pid"), F.lit(0).alias("depth"))
+    starts = latest if pid is None else latest.where(F.col("pid") == pid)
+    walk = starts.select(*host, F.col("pid").alias("start_pid"), F.col("pid").alias("at_pid"), F.lit(0).alias("depth"))
     reach = 1
     while reach < max_depth:
         step = jump.select(*host, F.col("pid").alias("at_pid"), "to_pid")
@@ -158,28 +159,10 @@ def process_ancestry_all(
 def process_ancestry(
     events: DataFrame, pid: str, max_depth: int = MAX_DEPTH, host: str | None = None
 ) -> DataFrame:
-    """The ancestor list of one pid, child first, by recursive SQL over the latest event per pid."""
+    """The ancestor list of one pid, child first."""
     if host is not None:
         events = events.where(F.col("host") == host)
-    spark = events.sparkSession
-    latest = checkpointed(latest_per_pid(events).select("pid", "row"))
-    roots = ", ".join(f"'{p}'" for p in ROOT_PIDS)
-    walk = spark.sql(
-        f"""
-        WITH RECURSIVE walk(depth, row) AS (
-            SELECT 0, row FROM {{latest}} WHERE pid = :pid
-            UNION ALL
-            SELECT w.depth + 1, l.row
-            FROM walk w JOIN {{latest}} l ON l.pid = w.row.ppid
-            WHERE w.depth + 1 < :max_depth AND w.row.ppid NOT IN ({roots})
-        )
-        SELECT depth, row.us AS us, row.seq AS seq, {", ".join(f"row.{k} AS {k}" for k in ROW_KEYS)}
-        FROM walk
-        """,
-        args={"pid": pid, "max_depth": max_depth},
-        latest=latest,
-    )
-    return walk
+    return process_ancestry_all(events, max_depth, pid=pid).drop("start_pid").orderBy("depth")
 
 
 def process_history(events: DataFrame) -> DataFrame:
