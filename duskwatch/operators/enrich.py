@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.net import ipv4_to_long, is_private_ip, is_valid_ip
+from ..functions.clock import bind
+from ..functions.net import ipv4_to_long, is_private_ip
 from ..functions.numbers import floor_div
 from ..schema import GEO_KEYS
+from ..sources.checkpoint import checkpointed
+from .lookup import attach
 
 # Ranges of at least 2^16 addresses are keyed by /16 block, smaller ones by /24.
 WIDE_BITS, NARROW_BITS = 16, 8
@@ -32,28 +35,28 @@ def ranges_by_block(ranges: DataFrame) -> DataFrame:
 
 
 def geo_lookup(sources: DataFrame, ranges: DataFrame) -> DataFrame:
-    """source -> geo columns for every distinct public address in ``sources``.
+    """source -> geo columns for the public addresses in ``sources``, one row per source.
 
     A public address without a range gets an empty country, as a miss does in
     the address database.  Overlapping ranges resolve to the narrowest one.
+    Columns of ``sources`` other than ``source`` are kept.
     """
+    kept = [c for c in sources.columns if c != "source"]
     ip = F.col("source")
-    number = ipv4_to_long(ip)
-    public = (
-        sources.select("source")
-        .where((ip != "localhost") & (ip != "") & is_valid_ip(ip) & ~is_private_ip(ip))
-        .distinct()
-    )
+    named = sources.where((ip != "localhost") & (ip != ""))
+    read = bind(named, {"ip_n": ipv4_to_long(ip), "ip_private": is_private_ip(ip)})
+    public = read.where(~F.col("ip_private"))
+    number = F.col("ip_n")
     keys = F.concat(_blocks(number, number, WIDE_BITS), _blocks(number, number, NARROW_BITS))
-    keyed = public.select("source", number.alias("n"), F.explode_outer(keys).alias("block"))
+    keyed = public.select("source", *kept, "ip_n", F.explode_outer(keys).alias("block"))
     best = (
         keyed.alias("k")
         .join(
             ranges_by_block(ranges).alias("r"),
-            (F.col("k.block") == F.col("r.block")) & F.col("k.n").between(F.col("r.start_ip"), F.col("r.end_ip")),
+            (F.col("k.block") == F.col("r.block")) & F.col("k.ip_n").between(F.col("r.start_ip"), F.col("r.end_ip")),
             "left",
         )
-        .groupBy("source")
+        .groupBy("source", *kept)
         .agg(
             F.min_by(
                 F.struct("country", "country_name", "city", "lat", "lon"),
@@ -61,34 +64,57 @@ def geo_lookup(sources: DataFrame, ranges: DataFrame) -> DataFrame:
             ).alias("g")
         )
     )
-    located = (F.col("g.lat") != 0) & (F.col("g.lon") != 0)
-    return best.select(
-        "source",
-        F.coalesce("g.country", F.lit("")).alias("country"),
-        F.coalesce("g.country_name", F.lit("")).alias("country_name"),
-        F.col("g.city").alias("city"),
-        F.when(located, F.format_string("%.4f", F.col("g.lat"))).alias("latitude"),
-        F.when(located, F.format_string("%.4f", F.col("g.lon"))).alias("longitude"),
-    )
+    return best.select("source", *kept, *_geo_columns("g"))
 
 
-def join_geo(events: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Set the geo columns of ``events`` from a source -> geo table."""
-    old = set(events.columns)
-    joined = events.alias("e").join(lookup.alias("g"), "source", "left")
-    geo = {
-        k: (F.coalesce(f"g.{k}", f"e.{k}") if k in old else F.col(f"g.{k}")).alias(k) for k in GEO_KEYS
-    }
-    plain = [F.col("source") if c == "source" else F.col(f"e.{c}").alias(c) for c in events.columns if c not in geo]
-    return joined.select(*plain, *geo.values()).select(*events.columns, *[k for k in GEO_KEYS if k not in old])
+def _geo_columns(record: str) -> list:
+    lat, lon = F.col(f"{record}.lat"), F.col(f"{record}.lon")
+    located = (lat != 0) & (lon != 0)
+    return [
+        F.coalesce(f"{record}.country", F.lit("")).alias("country"),
+        F.coalesce(f"{record}.country_name", F.lit("")).alias("country_name"),
+        F.col(f"{record}.city").alias("city"),
+        F.when(located, F.format_string("%.4f", lat)).alias("latitude"),
+        F.when(located, F.format_string("%.4f", lon)).alias("longitude"),
+    ]
 
 
 def enrich_geo(events: DataFrame, ranges: DataFrame) -> DataFrame:
     """Set the geo columns of events whose source is a public address.
 
-    The range join runs over distinct addresses only, which the map side
-    reduces first, so a source that owns a third of the events costs one row
-    there.  The join back carries no hint: Spark broadcasts the lookup when its
-    measured size allows it, and otherwise splits hot sources (AQE skew join).
+    The range join runs over distinct addresses, which the map side reduces
+    first, so a source that owns a third of the events costs one row there.
+    The result goes back to the events by ``attach``, which splits hot sources.
     """
-    return join_geo(events, geo_lookup(events, ranges))
+    bare = events.drop(*GEO_KEYS)
+    per_source = bare.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    lookup = checkpointed(geo_lookup(per_source, ranges))
+    return attach(bare, lookup, "source", "left").select(*dict.fromkeys([*events.columns, *GEO_KEYS]))
+
+
+def enrich_geo_stream(events: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The streaming form, for disjoint ranges: two stream-static joins, one per block size.
+
+    Nothing is counted up front; Spark broadcasts the ranges while their size
+    allows it and shuffles each micro-batch otherwise.
+    """
+    bare = bind(events.drop(*GEO_KEYS), {"ip_n": ipv4_to_long(F.col("source")), "ip_private": is_private_ip(F.col("source"))})
+    record = F.struct("country", "country_name", "city", "lat", "lon")
+    keyed = ranges_by_block(ranges)
+    joined = bare
+    for name, bits in (("narrow", NARROW_BITS), ("wide", WIDE_BITS)):
+        side = keyed.select(
+            F.col("block").alias(f"{name}_block"), F.col("start_ip").alias(f"{name}_lo"),
+            F.col("end_ip").alias(f"{name}_hi"), record.alias(name),
+        )
+        number = F.col("ip_n")
+        block = F.element_at(_blocks(number, number, bits), 1)
+        joined = joined.join(
+            side, (block == F.col(f"{name}_block")) & number.between(F.col(f"{name}_lo"), F.col(f"{name}_hi")), "left"
+        )
+    public = ~F.col("ip_private") & ~F.col("source").isin("localhost", "")
+    joined = joined.withColumn("g", F.coalesce("narrow", "wide"))
+    geo = [F.when(public, c).alias(k) for k, c in zip(GEO_KEYS, _geo_columns("g"))]
+    return joined.select(*bare.drop("ip_n", "ip_private").columns, *geo).select(
+        *dict.fromkeys([*events.columns, *GEO_KEYS])
+    )

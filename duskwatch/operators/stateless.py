@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import META_KEYS, meta, metadata_map, micros
+from ..sources.checkpoint import checkpointed
 from ..sources.rules import load_rules, rules_frame
+from .lookup import BROADCAST_ROWS, attach
 
 # Rule sets up to this size become constant predicates of one projection.
 INLINE_RULES = 256
@@ -74,10 +76,9 @@ def _join_rules(typed: DataFrame, rules: list[tuple]) -> DataFrame:
 
 
 def _inline_rules(typed: DataFrame, rules: list[tuple]) -> DataFrame:
-    matched = F.array_compact(F.array(*[F.when(where_rule(r), F.lit(r[0])) for r in rules]))
-    hits = typed.withColumn("rule_idx", F.explode(matched))
-    table = rules_frame(typed.sparkSession, rules).drop("event_type", "conditions")
-    return hits.join(F.broadcast(table), "rule_idx")
+    names = ("rule_idx", "name", "description", "technique_id", "severity")
+    matched = [F.when(where_rule(r), F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)])) for r in rules]
+    return typed.select("*", F.inline(F.array_compact(F.array(*matched))))
 
 
 def pattern_hits(events: DataFrame, rules: list[tuple] | None = None) -> DataFrame:
@@ -104,14 +105,17 @@ def pattern_hits(events: DataFrame, rules: list[tuple] | None = None) -> DataFra
     )
 
 
-def watchlist_hits(events: DataFrame, watchlist: DataFrame) -> DataFrame:
-    """Every event of any type whose source is listed.
+def listed(events: DataFrame, watchlist: DataFrame) -> DataFrame:
+    """Events whose source is on a list of unknown size."""
+    addresses = watchlist.select(F.col("ip").alias("source"))
+    if addresses.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return events.join(F.broadcast(addresses), "source", "left_semi")
+    seen = events.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return attach(events, checkpointed(seen.join(addresses, "source", "left_semi")), "source", "inner")
 
-    No hint: Spark broadcasts the list while its measured size allows it; a
-    list beyond that is shuffled, with hot sources split by the AQE skew join.
-    """
-    return (
-        events.where(F.col("source") != "")
-        .join(watchlist.select(F.col("ip").alias("source")), "source", "left_semi")
-        .select("host", micros().alias("us"), "seq", "source", "event_type")
+
+def watchlist_hits(events: DataFrame, watchlist: DataFrame) -> DataFrame:
+    """Every event of any type whose source is listed."""
+    return listed(events.where(F.col("source") != ""), watchlist).select(
+        "host", micros().alias("us"), "seq", "source", "event_type"
     )

@@ -7,18 +7,26 @@ from dataclasses import dataclass, field
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import chains, stateless
 from ..operators import thresholds as th
+from ..operators.enrich import enrich_geo
+from ..schema import ACCEPTED_LOGIN
 from ..sources.checkpoint import checkpointed
 from . import alerts as fmt
 
 
 @dataclass
 class DetectionContext:
-    """Events, reference data and parameters; shared intermediate hits are built once."""
+    """Events, reference data and parameters; shared intermediate hits are built once.
+
+    Events may be enriched already.  If ``geo_ranges`` is given instead, only
+    the logins are enriched, as no other detector reads a geo column.
+    """
 
     events: DataFrame
+    geo_ranges: DataFrame | None = None
     watchlist: DataFrame | None = None
     rules: list[tuple] | None = None
     link_col: str = "source"
@@ -39,7 +47,10 @@ class DetectionContext:
 
     @cached_property
     def new_countries(self) -> DataFrame:
-        hits = th.new_country_hits(self.events)
+        logins = self.events
+        if self.geo_ranges is not None:
+            logins = enrich_geo(logins.where(F.col("event_type") == ACCEPTED_LOGIN), self.geo_ranges)
+        hits = th.new_country_hits(logins)
         return checkpointed(hits) if self.share else hits
 
 

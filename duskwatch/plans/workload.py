@@ -38,15 +38,10 @@ def query(fn: Query) -> Query:
 
 
 def context(spark: SparkSession, sf_dir: str, **params) -> DetectionContext:
-    """Detection over the projected tables, enriched and linked by host."""
-    events = enrich_geo(fx.security_events(spark, sf_dir), fx.geo_ranges(spark, sf_dir))
-    return DetectionContext(events=events, watchlist=fx.watched(spark), link_col="host", **params)
-
-
-def plain_context(spark: SparkSession, sf_dir: str, **params) -> DetectionContext:
-    """The same without enrichment, for detectors that use no geo column."""
-    events = fx.security_events(spark, sf_dir)
-    return DetectionContext(events=events, watchlist=fx.watched(spark), link_col="host", **params)
+    """Detection over the projected tables, linked by host."""
+    return DetectionContext(
+        events=fx.security_events(spark, sf_dir), link_col="host", geo_ranges=fx.geo_ranges(spark, sf_dir), **params
+    )
 
 
 def _of(key: str) -> Column:
@@ -123,7 +118,7 @@ def geo_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alert_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alerts = fmt.as_log_records(detect(plain_context(spark, sf_dir), ["rules_stateless", "failed_logins"]))
+    alerts = fmt.as_log_records(detect(context(spark, sf_dir), ["rules_stateless", "failed_logins"]))
     return alerts.select(
         "seq",
         "rule_name",
@@ -136,7 +131,7 @@ def alert_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alert_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alerts = fmt.as_log_records(detect(plain_context(spark, sf_dir), ["rules_stateless", "failed_logins"]))
+    alerts = fmt.as_log_records(detect(context(spark, sf_dir), ["rules_stateless", "failed_logins"]))
     return alerts.select("seq", "rule_name", "alert_id")
 
 
@@ -168,24 +163,24 @@ QUERIES["event_json"] = QUERIES.pop("event_json_documents")
 
 @query
 def rules_stateless(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alerts = detect(plain_context(spark, sf_dir), ["rules_stateless"])
+    alerts = detect(context(spark, sf_dir), ["rules_stateless"])
     return _flat(alerts, "mitre_technique_id", "pid", "command", "process_name")
 
 
 @query
 def ip_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(detect(plain_context(spark, sf_dir), ["ip_watchlist"]), "mitre_tactic", "event_type")
+    return _flat(detect(context(spark, sf_dir, watchlist=fx.watched(spark)), ["ip_watchlist"]), "mitre_tactic", "event_type")
 
 
 @query
 def failed_logins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alerts = detect(plain_context(spark, sf_dir), ["failed_logins"])
+    alerts = detect(context(spark, sf_dir), ["failed_logins"])
     return _flat(alerts, "time_window", "user", count="attempt_count").withColumnRenamed("user", "usr")
 
 
 @query
 def password_spray(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(detect(plain_context(spark, sf_dir), ["password_spray"]), "time_window", count="user_count")
+    return _flat(detect(context(spark, sf_dir), ["password_spray"]), "time_window", count="user_count")
 
 
 @query
@@ -196,19 +191,19 @@ def new_country_login(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rapid_process(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(detect(plain_context(spark, sf_dir), ["rapid_process"]), "time_window", count="process_count")
+    return _flat(detect(context(spark, sf_dir), ["rapid_process"]), "time_window", count="process_count")
 
 
 @query
 def download_execute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alerts = detect(plain_context(spark, sf_dir), ["download_execute"])
+    alerts = detect(context(spark, sf_dir), ["download_execute"])
     return _flat(alerts, "mitre_technique", "time_to_execution", "executed_command", "staged_filepath")
 
 
 @query
 def new_account_use(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(
-        detect(plain_context(spark, sf_dir), ["new_account_use"]), "mitre_tactic", "username", "time_to_login"
+        detect(context(spark, sf_dir), ["new_account_use"]), "mitre_tactic", "username", "time_to_login"
     )
 
 
@@ -224,18 +219,22 @@ _EVASION_KEYS = ("mitre_tactic", "correlated_events", "source_ip", "evasion_comm
 
 @query
 def brute_force_evasion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(detect(plain_context(spark, sf_dir), ["brute_force_evasion"]), *_EVASION_KEYS)
+    return _flat(detect(context(spark, sf_dir), ["brute_force_evasion"]), *_EVASION_KEYS)
 
 
 @query
 def brute_force_evasion_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ctx = plain_context(spark, sf_dir, evasion_window_us=WIDE_EVASION_WINDOW)
+    ctx = context(spark, sf_dir, evasion_window_us=WIDE_EVASION_WINDOW)
     return _flat(detect(ctx, ["brute_force_evasion"]), *_EVASION_KEYS)
 
 
+def _every_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect(context(spark, sf_dir, watchlist=fx.watched(spark)), list(DETECTORS))
+
+
 @query
 def all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(detect(context(spark, sf_dir), list(DETECTORS)))
+    return _flat(_every_alert(spark, sf_dir))
 
 
 @query
@@ -245,12 +244,12 @@ def events_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alerts_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fmt.counters(detect(context(spark, sf_dir)), "rule_name")
+    return fmt.counters(_every_alert(spark, sf_dir), "rule_name")
 
 
 @query
 def alerts_by_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fmt.counters(detect(context(spark, sf_dir)), "severity")
+    return fmt.counters(_every_alert(spark, sf_dir), "severity")
 
 
 # --- hunting -------------------------------------------------------------------------------

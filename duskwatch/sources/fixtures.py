@@ -46,9 +46,8 @@ def security_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                     WHEN event_type = 'purchase' THEN '{ACCEPTED_LOGIN}'
                     ELSE '{PROCESS}' END"""
     # Twelve rows, fixed above.
-    templates = spark.createDataFrame(
-        [(i, *t) for i, t in enumerate(COMMANDS)], "cls int, name string, head string, modulus int, tail string"
-    )
+    values = ", ".join(f"({i}, '{name}', '{head}', {mod}, '{tail}')" for i, (name, head, mod, tail) in enumerate(COMMANDS))
+    templates = spark.sql(f"SELECT * FROM VALUES {values} AS t(cls, name, head, modulus, tail)")
     base = raw.selectExpr(
         "event_id",
         "user_id",
@@ -96,7 +95,7 @@ def watched(spark: SparkSession) -> DataFrame:
     """The built-in watchlist plus one address of the fixture."""
     from .reference_data import read_watchlist
 
-    extra = watchlist_from_lines(spark.createDataFrame([(EXTRA_WATCHED,)], "value string"))
+    extra = watchlist_from_lines(spark.sql(f"SELECT '{EXTRA_WATCHED}' AS value"))
     return read_watchlist(spark).unionByName(extra).distinct()
 
 
