@@ -1,10 +1,10 @@
 """As-of matching of two event roles on a key, split over time.
 
 ``latest_before`` gives every closer the latest opener before it.  Each key is
-cut into short time slots; a slot sees its own rows plus one carried value, the
-last opener of the slots before it, found on one reduced row per slot.  So
-a key that owns a third of the events is spread over its slots, and the only
-per-key step sees one row per key and slot.
+cut into short time slots; a slot sees its own rows plus one carried row, the
+last opener of the slots before it.  So a key that owns a third of the events
+is spread over its slots, and the only per-key step sees one row per key and
+slot.
 """
 
 from __future__ import annotations
@@ -16,6 +16,32 @@ from ..functions.clock import MINUTE
 from ..functions.numbers import floor_div
 
 SLOT_US = MINUTE
+SLOTS_PER_WINDOW = 4
+
+
+def _carry_within(per_slot: DataFrame, keys: list[str], reach: int) -> DataFrame:
+    """Each slot's last opener, copied to the ``reach`` slots after it or up to the next opener."""
+    order = Window.partitionBy(*keys).orderBy("slot")
+    limit = F.col("slot") + F.lit(reach).cast("long")
+    until = F.least(limit, F.coalesce(F.lead("slot").over(order), limit))
+    later = F.sequence(F.col("slot") + 1, F.col("until"))
+    return (
+        per_slot.withColumn("until", until)
+        .where(F.col("until") > F.col("slot"))
+        .select(*keys, F.explode(later).alias("slot"), "opener")
+    )
+
+
+def _carry_forever(per_slot: DataFrame, closed: DataFrame, keys: list[str]) -> DataFrame:
+    """The last opener before every slot that holds a closer; closer slots are reduced map-side."""
+    wanted = closed.select(*keys, "slot").distinct()
+    slots = per_slot.unionByName(wanted, allowMissingColumns=True).groupBy(*keys, "slot").agg(
+        F.max("opener").alias("opener")
+    )
+    earlier = Window.partitionBy(*keys).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    return slots.withColumn("opener", F.last("opener", ignorenulls=True).over(earlier)).where(
+        F.col("opener").isNotNull()
+    )
 
 
 def latest_before(
@@ -23,7 +49,6 @@ def latest_before(
     closers: DataFrame,
     keys: list[str],
     window_us: int | None,
-    slot_us: int = SLOT_US,
 ) -> DataFrame:
     """Closers with their latest earlier opener of the same key as struct ``opener``.
 
@@ -31,32 +56,28 @@ def latest_before(
     event is in both.  Closers without an opener within ``window_us`` (closed;
     None = no bound) are dropped.
     """
+    slot_us = SLOT_US if window_us is None else max(SLOT_US, window_us // SLOTS_PER_WINDOW)
     payload = [c for c in openers.columns if c not in (*keys, "us", "seq")]
-    slot = floor_div(F.col("us"), slot_us).alias("slot")
-    opener = F.struct("us", "seq", *payload)
-    opened = openers.select(*keys, slot, "us", "seq", opener.alias("opener"))
     rest = [c for c in closers.columns if c not in (*keys, "us", "seq")]
+    slot = floor_div(F.col("us"), slot_us).alias("slot")
+    opened = openers.select(*keys, slot, "us", "seq", F.struct("us", "seq", *payload).alias("opener"))
     closed = closers.select(*keys, slot, "us", "seq", F.struct("us", "seq", *rest).alias("closer"))
-    # One shuffle serves both the per-slot reduction and the in-slot window.
-    rows = opened.unionByName(closed, allowMissingColumns=True).repartition(*keys, "slot")
 
-    per_slot = rows.groupBy(*keys, "slot").agg(F.max("opener").alias("last_opener"))
-    earlier = Window.partitionBy(*keys).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_slot.withColumn("carried", F.last("last_opener", ignorenulls=True).over(earlier)).where(
-        F.col("carried").isNotNull()
-    )
-    if window_us is not None:
-        carried = carried.where(F.col("slot") * F.lit(slot_us).cast("long") - F.col("carried.us") <= window_us)
+    per_slot = opened.groupBy(*keys, "slot").agg(F.max("opener").alias("opener"))
+    if window_us is None:
+        carried = _carry_forever(per_slot, closed, keys)
+    else:
+        carried = _carry_within(per_slot, keys, window_us // slot_us + 1)
+    carried = carried.select(*keys, "slot", F.col("opener.us").alias("us"), F.col("opener.seq").alias("seq"), "opener")
 
     so_far = (
         Window.partitionBy(*keys, "slot").orderBy("us", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     matched = (
-        rows.withColumn("opener", F.last("opener", ignorenulls=True).over(so_far))
-        .where(F.col("closer").isNotNull())
-        .join(carried.select(*keys, "slot", "carried"), [*keys, "slot"], "left")
-        .withColumn("opener", F.coalesce("opener", "carried"))
-        .where(F.col("opener").isNotNull())
+        opened.unionByName(carried)
+        .unionByName(closed, allowMissingColumns=True)
+        .withColumn("opener", F.last("opener", ignorenulls=True).over(so_far))
+        .where(F.col("closer").isNotNull() & F.col("opener").isNotNull())
     )
     if window_us is not None:
         matched = matched.where(F.col("us") - F.col("opener.us") <= window_us)

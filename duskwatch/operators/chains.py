@@ -38,12 +38,12 @@ def _logins(events: DataFrame) -> DataFrame:
 # --- new account, then a login with it -------------------------------------------------
 
 
-def created_accounts(events: DataFrame) -> DataFrame:
+def created_accounts(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     words = fields(F.col("command"))
     return (
         _processes(events)
         .where((F.col("process_name") == "useradd") & (F.size(words) > 1))
-        .select("host", F.element_at(words, -1).alias("user"), micros().alias("us"), "seq")
+        .select("host", F.element_at(words, -1).alias("user"), micros().alias("us"), "seq", *keep)
     )
 
 
@@ -109,7 +109,9 @@ def brute_force_evasion_hits(
         .where(contains_any(F.col("command"), EVASION_PATTERNS) & F.col("ppid").isNotNull())
         .select("host", F.col("ppid").alias("pid"), micros().alias("us"), "seq", "command")
     )
-    return consume_once(armed_sessions(events, brute_force), evasions, ["host", "pid"], window_us).select(
+    # One row per login after a brute force, read twice by the match.
+    sessions = checkpointed(armed_sessions(events, brute_force))
+    return consume_once(sessions, evasions, ["host", "pid"], window_us).select(
         "host", "us", "seq", F.col("opener.source").alias("source"), "command", F.col("pid").alias("ppid")
     )
 

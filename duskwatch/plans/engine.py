@@ -57,6 +57,8 @@ class DetectionContext:
 Detector = Callable[[DetectionContext], DataFrame]
 
 DETECTORS: dict[str, Detector] = {}
+# Detectors that read the hits of another one, and read them more than once.
+CHAINED = {"brute_force_evasion", "login_escalation"}
 
 
 def register_detector(name: str) -> Callable[[Detector], Detector]:
@@ -127,7 +129,7 @@ def _escalation(ctx: DetectionContext) -> DataFrame:
 def detect(ctx: DetectionContext, names: list[str] | None = None) -> DataFrame:
     """Alerts of the named detectors, or of all of them, as one bag."""
     chosen = DETECTORS if names is None else {n: DETECTORS[n] for n in names}
-    ctx.share = ctx.share or len(chosen) > 1
+    ctx.share = ctx.share or len(chosen) > 1 or not CHAINED.isdisjoint(chosen)
     return reduce(DataFrame.unionByName, [fn(ctx) for fn in chosen.values()])
 
 

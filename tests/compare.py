@@ -69,4 +69,4 @@ if __name__ == "__main__":
         try:
             print(name, check(spark, con, name, qs[name], os_[name], sf) if name in os_ else "no sql", flush=True)
         except Exception as ex:
-            print(name, "ERROR", str(ex)[:1500], flush=True)
+            print(name, "ERROR", str(ex)[:300], flush=True)
