@@ -77,11 +77,10 @@ def conform(df: DataFrame) -> DataFrame:
 
 def metadata_map(keys: tuple[str, ...] = META_KEYS, with_extra: bool = True) -> Column:
     """Rebuild the open key/value map of an event, keys in ascending order."""
-    known = F.array(
-        *[F.struct(F.lit(k).alias("key"), F.col(k).alias("value")) for k in sorted(keys)]
-    )
-    present = F.filter(known, lambda e: e["value"].isNotNull())
+    none = F.array().cast("array<struct<key:string,value:string>>")
+    known = [F.struct(F.lit(k).alias("key"), F.col(k).alias("value")) for k in sorted(keys)]
+    present = F.filter(F.array(*known), lambda e: e["value"].isNotNull()) if known else none
     if with_extra:
-        rest = F.coalesce(F.map_entries("extra"), F.array().cast("array<struct<key:string,value:string>>"))
+        rest = F.coalesce(F.map_entries("extra"), none)
         present = F.array_sort(F.concat(present, rest))
     return F.map_from_entries(present)
