@@ -106,8 +106,13 @@ def pattern_hits(events: DataFrame, rules: list[tuple] | None = None) -> DataFra
 
 
 def listed(events: DataFrame, watchlist: DataFrame) -> DataFrame:
-    """Events whose source is on a list of unknown size."""
+    """Events whose source is on a list of unknown size.
+
+    Streams leave the choice of join to Spark, per micro-batch.
+    """
     addresses = watchlist.select(F.col("ip").alias("source"))
+    if events.isStreaming:
+        return events.join(addresses, "source", "left_semi")
     if addresses.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return events.join(F.broadcast(addresses), "source", "left_semi")
     seen = events.groupBy("source").agg(F.count(F.lit(1)).alias("n"))

@@ -358,3 +358,10 @@ ORACLES: dict[str, str] = {
     "process_history": _with(f"SELECT {_ROW} FROM ({_PROCESS}) ORDER BY us, seq"),
     "failed_login_times": _with(f"SELECT us, seq FROM ({_FAILED}) WHERE source = '{w.HUNTED_IP}' ORDER BY us, seq"),
 }
+
+for _name in (
+    "rules_stateless", "ip_watchlist", "failed_logins", "password_spray", "new_country_login", "rapid_process",
+    "download_execute", "new_account_use", "login_escalation",
+):
+    ORACLES[f"stream_{_name}"] = ORACLES[_name]
+ORACLES["stream_brute_force_evasion"] = ORACLES["brute_force_evasion_wide"]

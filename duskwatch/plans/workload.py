@@ -15,10 +15,13 @@ from ..functions.alerting import is_high_priority, severity_level
 from ..functions.clock import HOUR, duration_text
 from ..functions.export import event_json
 from ..functions.net import ipv4_to_long, is_private_ip
-from ..operators.enrich import enrich_geo
+from ..operators import stateless
+from ..operators.enrich import enrich_geo, enrich_geo_stream
 from ..operators.parse import events_of, parse_lines
 from ..schema import ACCEPTED_LOGIN, FAILED_LOGIN, PROCESS, micros
 from ..sources import fixtures as fx
+from ..sources.checkpoint import shared_folder
+from ..streaming import detect as live
 from . import alerts as fmt
 from . import hunt
 from .engine import DETECTORS, DetectionContext, detect
@@ -332,3 +335,87 @@ def process_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def failed_login_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hunt.failed_login_times(fx.security_events(spark, sf_dir), HUNTED_IP).select("us", "seq")
+
+
+# --- streaming twins ------------------------------------------------------------------------
+
+
+def _drained(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A stream run over all available input into a file sink, read back as a table."""
+    folder = shared_folder(spark, "stream")
+    q = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{folder}/state")
+    q.trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{folder}/out")
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.security_events(spark, sf_dir, stream=True)
+
+
+@query
+def stream_rules_stateless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alerts = fmt.pattern_alerts(_drained(spark, stateless.pattern_hits(_stream(spark, sf_dir))))
+    return _flat(alerts, "mitre_technique_id", "pid", "command", "process_name")
+
+
+@query
+def stream_ip_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = _drained(spark, stateless.watchlist_hits(_stream(spark, sf_dir), fx.watched(spark)))
+    return _flat(fmt.watchlist_alerts(hits), "mitre_tactic", "event_type")
+
+
+@query
+def stream_failed_logins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alerts = fmt.failed_login_alerts(_drained(spark, live.failed_login_hits(_stream(spark, sf_dir))))
+    return _flat(alerts, "time_window", "user", count="attempt_count").withColumnRenamed("user", "usr")
+
+
+@query
+def stream_password_spray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alerts = fmt.spray_alerts(_drained(spark, live.spray_hits(_stream(spark, sf_dir))))
+    return _flat(alerts, "time_window", count="user_count")
+
+
+def _located(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich_geo_stream(_stream(spark, sf_dir), fx.geo_ranges(spark, sf_dir))
+
+
+@query
+def stream_new_country_login(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alerts = fmt.new_country_alerts(_drained(spark, live.new_country_hits(_located(spark, sf_dir))))
+    return _flat(alerts, "user", "country").withColumnRenamed("user", "usr")
+
+
+@query
+def stream_rapid_process(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alerts = fmt.rapid_process_alerts(_drained(spark, live.rapid_process_hits(_stream(spark, sf_dir))))
+    return _flat(alerts, "time_window", count="process_count")
+
+
+@query
+def stream_download_execute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alerts = fmt.download_execute_alerts(_drained(spark, live.download_execute_hits(_stream(spark, sf_dir))))
+    return _flat(alerts, "mitre_technique", "time_to_execution", "executed_command", "staged_filepath")
+
+
+@query
+def stream_new_account_use(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alerts = fmt.new_account_alerts(_drained(spark, live.new_account_hits(_stream(spark, sf_dir))))
+    return _flat(alerts, "mitre_tactic", "username", "time_to_login")
+
+
+@query
+def stream_login_escalation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "stage")
+    live.new_country_stage(_located(spark, sf_dir), f"{folder}/s1", f"{folder}/c1", "host").awaitTermination()
+    alerts = fmt.login_escalation_alerts(_drained(spark, live.escalation_hits(spark, f"{folder}/s1")))
+    return _flat(alerts, "mitre_tactic", "correlated_events", "time_to_escalation")
+
+
+@query
+def stream_brute_force_evasion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "stage")
+    live.brute_force_stage(_stream(spark, sf_dir), f"{folder}/s1", f"{folder}/c1").awaitTermination()
+    live.session_stage(spark, f"{folder}/s1", f"{folder}/s2", f"{folder}/c2").awaitTermination()
+    hits = _drained(spark, live.evasion_hits(spark, f"{folder}/s2", WIDE_EVASION_WINDOW))
+    return _flat(fmt.brute_force_evasion_alerts(hits), *_EVASION_KEYS)

@@ -39,9 +39,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def security_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row of ``events`` as one security event."""
-    raw = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+def security_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    """Every row of ``events`` as one security event, as a table or as a stream."""
+    raw = _table(spark, sf_dir, "events")
+    if stream:
+        raw = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1000).parquet(
+            f"{sf_dir}/events.parquet*"  # a pattern, since a stream over a plain path needs a directory
+        )
+    raw = raw.select("event_id", "user_id", "event_type")
     kind = f"""CASE WHEN event_type IN ('error', 'signup') THEN '{FAILED_LOGIN}'
                     WHEN event_type = 'purchase' THEN '{ACCEPTED_LOGIN}'
                     ELSE '{PROCESS}' END"""
