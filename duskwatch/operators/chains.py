@@ -21,6 +21,8 @@ ESCALATION_PATTERNS = ("sudo su", "su -", "sudo -i", "sudo bash", "sudo sh")
 DOWNLOADERS = ("wget", "curl")
 STAGING_PREFIXES = ("/tmp/", "/dev/shm")
 
+SALTS = 32
+
 EVASION_WINDOW = 5 * MINUTE
 EXECUTE_WINDOW = 2 * MINUTE
 NEW_ACCOUNT_WINDOW = 1 * HOUR
@@ -147,6 +149,8 @@ def _named_paths(events: DataFrame, downloads: DataFrame, window_us: int) -> Dat
         downloads.select("host", F.explode(F.array(span, span + 1)).alias("span"), F.length("path").alias("n"))
         .groupBy("host", "span")
         .agg(F.collect_set("n").alias("lengths"))
+        # A few short rows, repeated so that a busy host and time is shared by several tasks.
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
     runs = F.regexp_extract_all("command", F.lit(r"(?U)(?=(/tmp/\S*|/dev/shm\S*))"), F.lit(1))
     executions = (
@@ -157,6 +161,7 @@ def _named_paths(events: DataFrame, downloads: DataFrame, window_us: int) -> Dat
         )
         .select("host", micros().alias("us"), "seq", "source", "command")
         .withColumn("span", span)
+        .withColumn("salt", F.pmod(F.xxhash64("seq"), F.lit(SALTS).cast("long")).cast("int"))
     )
     cut = F.flatten(
         F.transform(
@@ -166,7 +171,7 @@ def _named_paths(events: DataFrame, downloads: DataFrame, window_us: int) -> Dat
             ),
         )
     )
-    return executions.join(lengths, ["host", "span"]).select(
+    return executions.join(lengths, ["host", "span", "salt"]).select(
         "host", F.explode(F.array_distinct(cut)).alias("path"), "us", "seq", "source", "command"
     )
 

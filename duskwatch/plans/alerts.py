@@ -2,6 +2,9 @@
 
 Detectors return typed hit columns; the wording, severity and metadata of each
 rule are added here, once, for the batch and the streaming path alike.
+
+Fixed values: rule names, severities, metadata keys and message texts below are
+part of the alert format, their spelling included.
 """
 
 from __future__ import annotations

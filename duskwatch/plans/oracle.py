@@ -259,9 +259,9 @@ ORACLES: dict[str, str] = {
     ),
     "parse_disposition_counts": """
         SELECT 'event' AS disposition, count(*) AS count FROM events
-        UNION ALL SELECT 'blank', count(*) FROM events WHERE event_id % 50 = 0
-        UNION ALL SELECT 'ignored', count(*) FROM events WHERE event_id % 50 = 0
-        UNION ALL SELECT 'error', 2 * count(*) FROM events WHERE event_id % 50 = 0""",
+        UNION ALL SELECT 'blank', count(*) FROM events WHERE event_type = 'purchase'
+        UNION ALL SELECT 'ignored', count(*) FROM events WHERE event_type = 'purchase'
+        UNION ALL SELECT 'error', 2 * count(*) FROM events WHERE event_type = 'purchase'""",
     "private_ip_filter": """
         WITH p AS (SELECT event_id AS seq, [10, 172, 192, 203, 127, 256][event_id % 6 + 1] AS a,
                    (event_id * 7 + user_id) % 256 AS b, event_id % 256 AS c, user_id % 256 AS d FROM events)
