@@ -97,13 +97,16 @@ def pick_with_cooldown(candidates: DataFrame, key: str, time: str, cooldown_us:
         raise ValueError("cooldown must be positive")
     span = cooldown_us * COOLDOWNS_PER_CHUNK
     columns = candidates.columns
-    chunked = candidates.withColumnsRenamed({key: "grp", time: "us"}).withColumn(
-        "chunk", floor_div(F.col("us"), span)
+    # Both uses below read all columns behind the same filter, so that Spark
+    # recognises one shuffle by (grp, chunk) and computes the candidates once.
+    chunked = (
+        candidates.withColumnsRenamed({key: "grp", time: "us"})
+        .withColumn("chunk", floor_div(F.col("us"), span))
+        .where(F.col("grp").isNotNull() & F.col("chunk").isNotNull())
     )
     kind = dict(chunked.dtypes)
     steps = (
-        chunked.select("grp", "chunk", "us")
-        .groupBy("grp", "chunk")
+        chunked.groupBy("grp", "chunk")
         .applyInPandas(
             lambda pdf: _steps(pdf, cooldown_us, span),
             f"grp {kind['grp']}, chunk long, upto_us long, leave_us long",
