@@ -145,9 +145,10 @@ def rapid_process_hits(events: DataFrame, params: RapidParams = RapidParams()) -
     """``threshold`` process starts on a host within a window open at its old end, with a cooldown.
 
     1. Starts are counted per (host, microsecond) with map-side reduction.
-    2. Running counts are taken in slots of one window length, each with the
-       preceding slot as look-back; a slot holds at most one row per
-       microsecond, however many events it stands for.
+    2. Counts are kept in slots of one window length, as a running sum of
+       arrivals and departures, so that the work does not grow with the number
+       of rows inside a window; a slot holds at most two rows per microsecond,
+       however many events they stand for.
     3. The first row at a time that reaches the threshold is its candidate,
        and the cooldown picks among candidates.
     """
@@ -158,16 +159,23 @@ def rapid_process_hits(events: DataFrame, params: RapidParams = RapidParams()) -
     per_time = starts.groupBy("host", "us").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("seq", "source")).alias("first")
     )
+    # Each time arrives in its own slot and leaves the window one slot later.
     cell = floor_div(F.col("us"), span)
-    slotted = per_time.withColumn("cell", cell).withColumn(
-        "slot", F.explode(F.array(F.col("cell"), F.col("cell") + 1))
-    )
-    before = (
-        Window.partitionBy("host", "slot").orderBy("us").rangeBetween(-(span - 1), -1)
+
+    def change(slot, at, arrives: bool):
+        return F.struct(slot.alias("slot"), at.alias("at"), F.lit(arrives).alias("arrives"))
+
+    changes = per_time.select(
+        "*", F.inline(F.array(change(cell, F.col("us"), True), change(cell + 1, F.col("us") + span, False)))
     )
+    leaving = F.when(~F.col("arrives"), F.col("n")).otherwise(0)
+    in_slot = Window.partitionBy("host", "slot")
+    so_far = in_slot.orderBy("at", "arrives").rowsBetween(Window.unboundedPreceding, -1)
+    at_start = F.sum(leaving).over(in_slot)
+    since = F.sum(F.when(F.col("arrives"), F.col("n")).otherwise(-F.col("n"))).over(so_far)
     counted = (
-        slotted.withColumn("prior", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long"))
-        .where((F.col("cell") == F.col("slot")) & (F.col("prior") + F.col("n") >= k))
+        changes.withColumn("prior", (at_start + F.coalesce(since, F.lit(0))).cast("long"))
+        .where(F.col("arrives") & (F.col("prior") + F.col("n") >= k))
         .withColumn("nth", F.greatest(F.lit(1).cast("long"), F.lit(k) - F.col("prior")))
         .select(
             "host",
