@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import deque
+
 import pandas as pd
 
 from ..operators.thresholds import FailedLoginParams, RapidParams, SprayParams
@@ -111,12 +113,12 @@ def rapid_process(params: RapidParams) -> KeyedRule:
 
     def step(key, state, rows):
         times, counts, last = state or ([], [], None)
-        recent = list(zip(times, counts))
+        recent, prior = deque(zip(times, counts)), sum(counts)
         hits = []
         for us, group in rows.groupby("us", sort=True):
-            us = int(us)
-            recent = [(t, n) for t, n in recent if t > us - span]
-            prior, here = sum(n for _, n in recent), int(group["n"].sum())
+            us, here = int(us), int(group["n"].sum())
+            while recent and recent[0][0] <= us - span:
+                prior -= recent.popleft()[1]
             nth = max(1, k - prior)
             if here >= nth and (last is None or us - last >= cooldown):
                 starts = sorted((int(s), src) for row in group.itertuples() for s, src in zip(row.seqs, row.sources))
@@ -124,6 +126,9 @@ def rapid_process(params: RapidParams) -> KeyedRule:
                 hits.append((key[0], us, seq, source, prior + nth, span))
                 last = us
             recent.append((us, here))
+            prior += here
+            if len(recent) > 1 and recent[-2][0] > us:  # a late row
+                recent = deque(sorted(recent))
         return ([t for t, _ in recent], [n for _, n in recent], last), hits
 
     return KeyedRule(
