@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskwatch.llm.common import MIX_1, connected_components, mixed, no_gc, staged, word_hashes
+from duskwatch.llm.common import MIX_1, connected_components, mixed, no_gc, staged, table, word_hashes
 
 BANDS, ROWS = 36, 5  # 1 - (1 - 0.8^5)^36: a pair at similarity 0.8 misses all bands once in 1.7 million
 SKETCH_WORDS = 8  # 512 parity bits
@@ -260,3 +260,7 @@ def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80) -> DataF
         .union(alone.select("doc_id", "n_shingles", "component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+
+
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))

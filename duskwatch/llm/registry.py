@@ -6,16 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duskwatch.llm.common import table
-from duskwatch.llm.minhash import near_duplicates
-
-
-def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
-
+from duskwatch.llm.minhash import op7_minhash_near_dedup
+from duskwatch.llm.packing import op6_best_fit_packing
+from duskwatch.llm.tokens import op2_token_files
+from duskwatch.llm.toxicity import op5_toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    q.__name__: q for q in (op2_token_files, op5_toxicity, op6_best_fit_packing, op7_minhash_near_dedup)
 }
 
+# Queries that SQL can express.
 LLM_ORACLES: dict[str, str] = {}
