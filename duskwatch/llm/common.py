@@ -28,9 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written once as Parquet to the folder all executors share, and read back with its columns."""
+    """``df`` written once as Parquet to the folder all executors share, and read back with its columns.
+
+    The shuffle files behind it are of no more use then; Spark removes them once
+    the driver's JVM has collected their handles, so it is asked to.
+    """
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

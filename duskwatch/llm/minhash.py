@@ -7,16 +7,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from duskwatch.llm.common import MIX_1, connected_components, mixed, no_gc, staged, table, word_hashes
 
 BANDS, ROWS = 36, 5  # 1 - (1 - 0.8^5)^36: a pair at similarity 0.8 misses all bands once in 1.7 million
 SKETCH_WORDS = 8  # 512 parity bits
-# Parity bits in which two sketches of 180 samples may differ.  A pair at 0.8 differs in 63 (deviation 9);
-# 150 is passed by such a pair with a probability of the rest below 1e-15.
-MOST_DIFFERENT_BITS = 150
+# Parity bits in which two sketches of 180 samples may differ.  A pair at 0.8 differs in 63, with a
+# deviation of 9, so it is past this bound about as rarely as it misses all bands.
+MOST_DIFFERENT_BITS = 112
+# Further sets of high degree that are tried in each bucket before all others are.
+HUBS = 8
 SEED = 20240611
 
 SIGNATURE = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
@@ -177,9 +179,10 @@ def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80) -> DataF
     * Equal sets collapse to one node first, so exact copies, however many,
       cost one map-side combined group.
     * Candidates share one of 36 bands of five MinHash values.  In each bucket
-      every set is first compared with the least one (a star, linear in the
-      bucket).  After linking, only sets outside the bucket's largest component
-      are compared with the other components' sets: pairs within a component
+      every set is first compared with the one that shares most bands with
+      others (a star, linear in the bucket).  After linking, only sets outside the
+      bucket's largest component are compared further: with HUBS more such
+      sets, then with all sets of other components.  Pairs within a component
       need no link, so nothing is lost and no group is expanded into all pairs.
     * Before a pair's texts are fetched, the parity bits of its odd sketches
       must be near enough; then the full sets decide.
@@ -199,55 +202,62 @@ def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80) -> DataF
         "minhash-sets",
     )
     posts = sets.select("digest", F.explode("bands").alias("bucket"))
-    heads = posts.groupBy("bucket").agg(F.min("digest").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = staged(posts.join(heads, "bucket").select("bucket", "digest", "head", "n"), "minhash-shared")
-
-    def near(pairs: DataFrame) -> DataFrame:
-        sketch = sets.select("digest", "sketch")
-        return (
-            pairs.join(sketch.withColumnsRenamed({"digest": "u", "sketch": "su"}), "u")
-            .join(sketch.withColumnsRenamed({"digest": "v", "sketch": "sv"}), "v")
-            .where(different_bits(F.col("su"), F.col("sv")) <= MOST_DIFFERENT_BITS)
-            .select("u", "v")
-        )
+    full = posts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = staged(posts.join(full, "bucket"), "minhash-shared")
+    # A text that others are copied from shares more bands with them than they do among each other.
+    degrees = shared.groupBy("digest").agg(F.sum("n").alias("degree"))
+    shared = staged(
+        shared.join(degrees, "digest").join(sets.select("digest", "sketch"), "digest").select("bucket", "digest", "degree", "sketch"),
+        "minhash-shared",
+    )
+    near = different_bits(F.col("a.sketch"), F.col("b.sketch")) <= MOST_DIFFERENT_BITS
+    pair = (F.least("a.digest", "b.digest").alias("u"), F.greatest("a.digest", "b.digest").alias("v"))
 
-    star = shared.where("digest <> head").select(F.col("head").alias("u"), F.col("digest").alias("v")).distinct()
-    links = staged(confirmed(staged(near(star), "minhash-candidates"), narrow, sets, width, percent), "minhash-links")
-    parts = staged(connected_components(links), "minhash-parts")
+    def components(links: DataFrame) -> DataFrame:
+        return staged(connected_components(links), "minhash-parts")
 
-    # Second round: pairs that the stars have neither compared nor joined.
-    rows = (
-        shared.where("n > 2")
-        .join(parts.withColumnRenamed("node", "digest"), "digest", "left")
-        .withColumn("component", F.coalesce("component", "digest"))
-    )
-    sizes = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("m"))
-    largest = (
-        sizes.groupBy("bucket")
-        .agg(F.max(F.struct("m", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1")
-    )
-    mixed_rows = staged(
-        rows.join(largest, "bucket").join(sets.select("digest", "sketch"), "digest").where("digest <> head"),
-        "minhash-mixed",
-    )
-    few = mixed_rows.where("component <> largest")
-    a, b = few.alias("a"), mixed_rows.alias("b")
-    rest = (
-        a.join(
-            b,
-            (F.col("a.bucket") == F.col("b.bucket"))
-            & (F.col("a.component") != F.col("b.component"))
-            & (different_bits(F.col("a.sketch"), F.col("b.sketch")) <= MOST_DIFFERENT_BITS),
+    def open_rows(parts: DataFrame) -> DataFrame:
+        """Rows of the buckets that hold several components, with whether they are outside the largest."""
+        rows = shared.join(parts.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
+            "component", F.coalesce("component", "digest")
         )
-        .select(
-            F.least("a.digest", "b.digest").alias("u"),
-            F.greatest("a.digest", "b.digest").alias("v"),
+        sizes = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("m"))
+        largest = (
+            sizes.groupBy("bucket")
+            .agg(F.max(F.struct("m", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("parts"))
+            .where("parts > 1")
         )
-        .distinct()
-    )
-    more = staged(confirmed(staged(rest, "minhash-candidates"), narrow, sets, width, percent), "minhash-links")
-    joined = staged(connected_components(links.union(more)), "minhash-parts") if not more.isEmpty() else parts
+        few = (F.col("component") != F.col("largest")).alias("few")
+        return staged(rows.join(largest, "bucket").select("bucket", "digest", "degree", "sketch", "component", few), "minhash-open")
+
+    def compared(candidates: DataFrame, tested: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        new = candidates.distinct()
+        if tested is not None:
+            new = new.join(tested, ["u", "v"], "left_anti")
+        new = staged(new, "minhash-candidates")
+        links = staged(confirmed(new, narrow, sets, width, percent), "minhash-links")
+        return links, new if tested is None else tested.union(new)
+
+    # Stars around the set of the highest degree in each bucket.
+    order = F.struct("degree", "digest")
+    heads = shared.groupBy("bucket").agg(F.max_by(F.struct("digest", "sketch"), order).alias("h")).select("bucket", "h.*")
+    star = heads.alias("a").join(shared.alias("b"), (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.digest") != F.col("b.digest")) & near)
+    links, tested = compared(star.select(*pair), None)
+    parts = components(links)
+
+    # What the stars left apart, against a few more sets of high degree ...
+    rows = open_rows(parts)
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("degree"), "digest"))
+    hubs = rows.withColumn("rank", rank).where(F.col("rank") <= HUBS).drop("rank")
+    apart = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.component") != F.col("b.component")) & near
+    more, tested = compared(hubs.alias("a").join(rows.where("few").alias("b"), apart).select(*pair), tested)
+    links = links.union(more)
+    parts = components(links)
+
+    # ... and all that are still apart against every set of another component.
+    rows = open_rows(parts)
+    more, _ = compared(rows.alias("a").join(rows.where("few").alias("b"), apart).select(*pair), tested)
+    joined = components(links.union(more))
 
     member = sets.select("digest", "first_id").join(joined.withColumnRenamed("node", "digest"), "digest", "left")
     member = member.withColumn("component", F.coalesce("component", "digest"))
