@@ -59,13 +59,17 @@ def features(text: str | None) -> np.ndarray:
 
 
 def fit_ftrl(rows: list[np.ndarray], labels: np.ndarray, rates: Ftrl) -> tuple[np.ndarray, np.ndarray, float]:
-    """(sorted feature hashes, their weights, bias) of the model; only non-zero weights."""
-    sizes = np.array([len(r) for r in rows])
-    keys, index, seen = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
-    keep = seen >= rates.least_documents
-    place = np.where(keep, np.cumsum(keep) - 1, -1)[index]
-    docs = [p[p >= 0] for p in np.split(place, np.cumsum(sizes)[:-1])]
-    keys = keys[keep]
+    """(sorted feature hashes, their weights, bias) of the model; only non-zero weights.  Empties ``rows``, to save memory."""
+    flat = np.concatenate(rows)
+    flat.sort()
+    starts = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, np.int64)
+    keys = flat[starts[np.diff(np.append(starts, len(flat))) >= rates.least_documents]]
+    del flat, starts
+    docs = []
+    for i, row in enumerate(rows):  # place of each feature among the kept ones
+        at = np.searchsorted(keys, row)
+        docs.append(at[(at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == row)].astype(np.int32) if len(keys) else at[:0])
+        rows[i] = None
     bias = len(keys)  # the last coordinate, without l1
     z, n = np.zeros(bias + 1), np.zeros(bias + 1)
     l1 = rates.sparsity * np.sqrt(len(rows))
