@@ -6,15 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from duskwatch.llm.chat import op9_chat_formatting
 from duskwatch.llm.linededup import op4_line_dedup
 from duskwatch.llm.minhash import op7_minhash_near_dedup
+from duskwatch.llm.mixing import OP3_SQL, op3_poisson_mixing
 from duskwatch.llm.packing import op6_best_fit_packing
 from duskwatch.llm.tokens import op2_token_files
 from duskwatch.llm.toxicity import op5_toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_token_files, op4_line_dedup, op5_toxicity, op6_best_fit_packing, op7_minhash_near_dedup)
+    q.__name__: q
+    for q in (
+        op2_token_files,
+        op3_poisson_mixing,
+        op4_line_dedup,
+        op5_toxicity,
+        op6_best_fit_packing,
+        op7_minhash_near_dedup,
+        op9_chat_formatting,
+    )
 }
 
 # Queries that SQL can express.
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {"op3_poisson_mixing": OP3_SQL}
