@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from duskwatch.llm.chat import op9_chat_formatting
+from duskwatch.llm.fingerprint import op8_document_fingerprints
 from duskwatch.llm.linededup import op4_line_dedup
 from duskwatch.llm.minhash import op7_minhash_near_dedup
 from duskwatch.llm.mixing import OP3_SQL, op3_poisson_mixing
@@ -23,6 +24,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_toxicity,
         op6_best_fit_packing,
         op7_minhash_near_dedup,
+        op8_document_fingerprints,
         op9_chat_formatting,
     )
 }
