@@ -2,22 +2,61 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duskwatch.llm.common import staged, table
+from duskwatch.llm.linededup import dedup_lines
 from duskwatch.llm.minhash import near_duplicates
+from duskwatch.llm.mixing import poisson_mix
+from duskwatch.llm.packing import pack_documents
+from duskwatch.llm.toxicity import toxicity
 
+# Near duplicates here share five-word shingles.
+SHINGLE_WORDS, PERCENT = 5, 80
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it learns from ``labels``."""
+    toxic = toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1").select("doc_id").distinct()
+    return docs.join(toxic, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines with an earlier match go; a document that loses all its words goes with them."""
+    out = dedup_lines(docs).where("n_removed = 0 or text rlike '[^ \\\\t\\\\r\\\\n]'")
+    if "n_chars" in docs.columns:
+        kind = dict(docs.dtypes)["n_chars"]
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the least doc_id."""
-    gone = near_duplicates(docs, width=5, percent=80).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = near_duplicates(docs, SHINGLE_WORDS, PERCENT).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated to the target weights of their sources, in a random order."""
+    return poisson_mix(docs).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of the documents with their places in sequences."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("minhash_near_dedup", near_dedup)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("source_mixing", mix_sources),
+    ("best_fit_packing", pack),
+]
 
-# MinHash, learnt weights and packing have no SQL restatement; tests/llm compares with brute force.
+# Learnt weights, MinHash and packing have no SQL restatement; tests/llm compares with brute force.
 ORACLE_SQL: str | None = None
 
 
