@@ -141,4 +141,3 @@ WITH templates(name, t) AS (VALUES {_values()}
 )
 SELECT d.doc_id, coalesce(b.n, 0) AS n_licences, b.licence, b.dice FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id
 """
-cat > registry.py <<'E'
