@@ -21,7 +21,10 @@ MOST_DIFFERENT_BITS = 112
 HUBS = 8
 SEED = 20240611
 
-SIGNATURE = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
+# Parity bits of the whole set.  Two sets differ in at least as many shingles as these bits differ, so pairs
+# that differ in more than the similarity allows are left out without loss, however close they are to it.
+SET_WORDS = 32
+SIGNATURE = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>, parity array<long>"
 
 
 def split_words(text: str | None) -> list[bytes]:
@@ -59,7 +62,11 @@ def signer(width: int):
             low = np.minimum(low, ((x[None, i : i + 1024] ^ flips) * factors).min(axis=1))
         return low
 
-    def signature(shingles: np.ndarray) -> tuple[bytes, list[int], list[int]]:
+    def folded(positions: np.ndarray, words: int) -> np.ndarray:
+        parity = np.bincount(positions.astype(np.int64), minlength=64 * words) & 1
+        return np.packbits(parity.astype(np.uint8), bitorder="little").view("<i8")
+
+    def signature(shingles: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
         low = minima(shingles).astype(np.uint64)
         rows = low.reshape(BANDS, ROWS)
         key = band
@@ -67,27 +74,27 @@ def signer(width: int):
             for r in range(ROWS):
                 key = mixed(key * MIX_1 + rows[:, r])
             bits = mixed(low * MIX_1 + index) >> np.uint64(64 - 9)
-        parity = np.bincount(bits.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
-        sketch = np.packbits(parity.astype(np.uint8), bitorder="little").view("<i8")
         digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
-        return digest, key.view(np.int64), sketch
+        return digest, key.view(np.int64), folded(bits, SKETCH_WORDS), folded(shingles % np.uint64(64 * SET_WORDS), SET_WORDS)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                sizes, digests, keys, sketches = [], [], [], []
+                sizes, digests, keys, sketches, parities = [], [], [], [], []
+                none = np.zeros(0, np.int64)
                 with no_gc():
                     for text in batch.column("text").to_pylist():
                         shingles = shingle_hashes(split_words(text), width)
                         sizes.append(len(shingles))
                         if len(shingles):
-                            digest, key, sketch = signature(shingles)
+                            digest, key, sketch, parity = signature(shingles)
                         else:
-                            digest, key, sketch = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+                            digest, key, sketch, parity = None, none, none, none
                         digests.append(digest)
                         keys.append(key)
                         sketches.append(sketch)
+                        parities.append(parity)
 
                 def lists(parts: list[np.ndarray]) -> pa.Array:
                     ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
@@ -100,17 +107,18 @@ def signer(width: int):
                         pa.array(digests, pa.binary()),
                         lists(keys),
                         lists(sketches),
+                        lists(parities),
                     ],
-                    names=["doc_id", "n_shingles", "digest", "bands", "sketch"],
+                    names=["doc_id", "n_shingles", "digest", "bands", "sketch", "parity"],
                 )
 
     return sign
 
 
-def different_bits(a: Column, b: Column) -> Column:
-    """Population count of the XOR of two odd sketches."""
+def different_bits(a: Column, b: Column, words: int) -> Column:
+    """Population count of the XOR of two parity bitmaps."""
     total = F.bit_count(a[0].bitwiseXOR(b[0]))
-    for i in range(1, SKETCH_WORDS):
+    for i in range(1, words):
         total = total + F.bit_count(a[i].bitwiseXOR(b[i]))
     return total
 
@@ -184,8 +192,8 @@ def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80) -> DataF
       bucket's largest component are compared further: with HUBS more such
       sets, then with all sets of other components.  Pairs within a component
       need no link, so nothing is lost and no group is expanded into all pairs.
-    * Before a pair's texts are fetched, the parity bits of its odd sketches
-      must be near enough; then the full sets decide.
+    * Before a pair's texts are fetched, its sizes, the parity bits of its odd
+      sketches and those of its whole sets must be near enough; then the full sets decide.
 
     Defined cases: a null or blank text has no shingles and is linked with
     nothing; a null doc_id is returned with itself (null) as component and
@@ -197,8 +205,8 @@ def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80) -> DataF
     sets = staged(
         signed.where("n_shingles > 0 and doc_id is not null")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("first_id"), F.first(F.struct("bands", "sketch")).alias("s"))
-        .select("digest", "first_id", "s.bands", "s.sketch"),
+        .agg(F.min("doc_id").alias("first_id"), F.first(F.struct("bands", "n_shingles", "sketch", "parity")).alias("s"))
+        .select("digest", "first_id", "s.*"),
         "minhash-sets",
     )
     posts = sets.select("digest", F.explode("bands").alias("bucket"))
@@ -207,10 +215,16 @@ def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80) -> DataF
     # A text that others are copied from shares more bands with them than they do among each other.
     degrees = shared.groupBy("digest").agg(F.sum("n").alias("degree"))
     shared = staged(
-        shared.join(degrees, "digest").join(sets.select("digest", "sketch"), "digest").select("bucket", "digest", "degree", "sketch"),
+        shared.join(degrees, "digest").join(sets.select("digest", "n_shingles", "sketch", "parity"), "digest"),
         "minhash-shared",
     )
-    near = different_bits(F.col("a.sketch"), F.col("b.sketch")) <= MOST_DIFFERENT_BITS
+    both = F.col("a.n_shingles") + F.col("b.n_shingles")
+    common = F.floor((both * percent + (100 + percent - 1)) / (100 + percent))  # so many at least at this similarity
+    near = (
+        (F.least("a.n_shingles", "b.n_shingles") >= common)
+        & (different_bits(F.col("a.sketch"), F.col("b.sketch"), SKETCH_WORDS) <= MOST_DIFFERENT_BITS)
+        & (different_bits(F.col("a.parity"), F.col("b.parity"), SET_WORDS) <= both - 2 * common)
+    )
     pair = (F.least("a.digest", "b.digest").alias("u"), F.greatest("a.digest", "b.digest").alias("v"))
 
     def components(links: DataFrame) -> DataFrame:
@@ -228,7 +242,7 @@ def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80) -> DataF
             .where("parts > 1")
         )
         few = (F.col("component") != F.col("largest")).alias("few")
-        return staged(rows.join(largest, "bucket").select("bucket", "digest", "degree", "sketch", "component", few), "minhash-open")
+        return staged(rows.join(largest, "bucket").select("bucket", "digest", "degree", "n_shingles", "sketch", "parity", "component", few), "minhash-open")
 
     def compared(candidates: DataFrame, tested: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         new = candidates.distinct()
@@ -240,7 +254,7 @@ def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80) -> DataF
 
     # Stars around the set of the highest degree in each bucket.
     order = F.struct("degree", "digest")
-    heads = shared.groupBy("bucket").agg(F.max_by(F.struct("digest", "sketch"), order).alias("h")).select("bucket", "h.*")
+    heads = shared.groupBy("bucket").agg(F.max_by(F.struct("digest", "n_shingles", "sketch", "parity"), order).alias("h")).select("bucket", "h.*")
     star = heads.alias("a").join(shared.alias("b"), (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.digest") != F.col("b.digest")) & near)
     links, tested = compared(star.select(*pair), None)
     parts = components(links)
