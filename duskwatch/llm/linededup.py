@@ -23,7 +23,7 @@ BLOCK_LINES = 50_000
 # Matches reported for a line and token before the rest of the group is deferred.
 FIRST_MATCHES = 4
 TOKEN_BITS = 44
-LOW_TOKEN, LOW_36 = np.uint64((1 << 44) - 1), np.uint64((1 << 36) - 1)
+LOW_TOKEN, LOW_36, LOW_31 = np.uint64((1 << 44) - 1), np.uint64((1 << 36) - 1), (1 << 31) - 1
 
 
 def word_lines(texts: list[str | None], most_words: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -130,7 +130,10 @@ def rarity_codes(lines: DataFrame) -> np.ndarray:
     return out
 
 
-POSTING = "token long, role int, doc_id long, line_no int, size int, place int, parity long, key long"
+# ``shape`` holds the line's size (from bit 33), the tokens from this one on (31 bits) and the role (2 bits).
+POSTING = "token long, doc_id long, line_no int, shape long, parity long, key long"
+# The code of a bucket that counts one line.
+ALONE = 6
 
 
 def postings(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int) -> DataFrame:
@@ -140,7 +143,8 @@ def postings(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int)
     n - ceil(percent n) + 1 of the common order (rarity code, token).  Lines of a token whose
     bucket counts more than ``block_lines`` are dealt into square blocks: each line meets
     each block once as the later (role 1) and once as the earlier one (role 2).
-    Of equal lines in one batch part, the first stands for all.
+    Of equal lines in one batch part, the first stands for all.  Tokens whose
+    bucket counts one line have no partner and are left out.
     """
     shared = docs.sparkSession.sparkContext.broadcast(codes)
 
@@ -164,24 +168,22 @@ def postings(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int)
                     prefix = sizes - (sizes * percent + 99) // 100 + 1
                     first = np.zeros(len(rows), dtype=bool)
                     first[np.unique(key, return_index=True)[1]] = True
-                    keep = (place < prefix[of]) & first[of]
+                    keep = (place < prefix[of]) & first[of] & ((ranked & LOW_TOKEN) >> np.uint64(36) > ALONE)
                     of, place, ranked = of[keep], place[keep], ranked[keep] & LOW_TOKEN
-                    role = np.full(len(of), 3, dtype=np.int32)
+                    role = np.full(len(of), 3, dtype=np.int64)
                     blocks = blocks_of[(ranked >> np.uint64(36)).astype(np.int64)]
                     if (blocks > 1).any():
                         of, place, ranked, role = in_blocks(of, place, ranked, blocks, key)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(ranked.view(np.int64)),
-                            pa.array(role),
                             pa.array(ids[rows[of]]),
                             pa.array(numbers[of], pa.int32()),
-                            pa.array(sizes[of], pa.int32()),
-                            pa.array(place, pa.int32()),
+                            pa.array((sizes[of] << 33) | ((sizes[of] - place) << 2) | role),
                             pa.array(parity[of].view(np.int64)),
                             pa.array(key[of].view(np.int64)),
                         ],
-                        names=["token", "role", "doc_id", "line_no", "size", "place", "parity", "key"],
+                        names=["token", "doc_id", "line_no", "shape", "parity", "key"],
                     )
 
     return docs.mapInArrow(read, POSTING)
@@ -189,7 +191,7 @@ def postings(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int)
 
 def in_blocks(of, place, ranked, blocks, key) -> tuple:
     """Postings with those of frequent tokens repeated for each block of later and earlier lines."""
-    parts = [(of[blocks == 1], place[blocks == 1], ranked[blocks == 1], np.full((blocks == 1).sum(), 3, np.int32))]
+    parts = [(of[blocks == 1], place[blocks == 1], ranked[blocks == 1], np.full((blocks == 1).sum(), 3, np.int64))]
     for n in np.unique(blocks[blocks > 1]).tolist():
         at = np.flatnonzero(blocks == n)
         own = (mixed(key[of[at]]) % np.uint64(n)).astype(np.uint64)
@@ -199,8 +201,8 @@ def in_blocks(of, place, ranked, blocks, key) -> tuple:
             with np.errstate(over="ignore"):
                 later = mixed(ranked[at] * MIX_1 + own * np.uint64(n) + o)
                 earlier = mixed(ranked[at] * MIX_1 + o * np.uint64(n) + own)
-            parts.append((of[at], place[at], later, np.where(same, 3, 1).astype(np.int32)))
-            parts.append((of[at][~same], place[at][~same], earlier[~same], np.full((~same).sum(), 2, np.int32)))
+            parts.append((of[at], place[at], later, np.where(same, 3, 1).astype(np.int64)))
+            parts.append((of[at][~same], place[at][~same], earlier[~same], np.full((~same).sum(), 2, np.int64)))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
@@ -224,7 +226,7 @@ def first_matches(sorted_postings: DataFrame, percent: int, most: int = FIRST_MA
     Filters: sizes, tokens left from the shared one on, and the bits in which
     the parity bitmaps differ, a lower bound of the symmetric difference.
     """
-    names = ["token", "role", "doc_id", "line_no", "size", "place", "parity", "key"]
+    names = ["token", "doc_id", "line_no", "shape", "parity", "key"]
 
     def compare(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         n = len(c["token"])
@@ -233,8 +235,8 @@ def first_matches(sorted_postings: DataFrame, percent: int, most: int = FIRST_MA
         depth = np.arange(n) - start
         found, more = np.zeros(n, np.int32), np.zeros(n, bool)
         left, right = [], []
-        size, rest, key = c["size"].astype(np.int64), (c["size"] - c["place"]).astype(np.int64), c["key"]
-        parity, role = c["parity"].view(np.uint64), c["role"]
+        size, rest, role = c["shape"] >> 33, (c["shape"] >> 2) & LOW_31, c["shape"] & 3
+        parity, key = c["parity"].view(np.uint64), c["key"]
         active, d = np.flatnonzero((depth >= 1) & (role & 1 > 0)), 1
         while len(active):
             i, j = active, active - d
@@ -263,8 +265,8 @@ def first_matches(sorted_postings: DataFrame, percent: int, most: int = FIRST_MA
             [
                 pair(c["doc_id"][i], pa.int64()), pair(c["line_no"][i], pa.int32()),
                 pair(c["doc_id"][j], pa.int64()), pair(c["line_no"][j], pa.int32()), pair(more[i], pa.bool_()),
-                column("token", pa.int64()), column("role", pa.int32()), column("doc_id", pa.int64()), column("line_no", pa.int32()),
-                column("size", pa.int32()), column("place", pa.int32()), column("parity", pa.int64()), column("key", pa.int64()),
+                column("token", pa.int64()), column("doc_id", pa.int64()), column("line_no", pa.int32()),
+                column("shape", pa.int64()), column("parity", pa.int64()), column("key", pa.int64()),
             ],
             names=[x.split(" ")[0] for x in MATCH.split(", ")],
         )
@@ -353,6 +355,9 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT, block_lines: int = B
     # Lines whose first candidates failed although there were more: all the rest of their groups.
     open_lines = found.where("more").select("doc_id", "line_no").distinct().join(near, ["doc_id", "line_no"], "left_anti")
     late = found.where("token is not null").selectExpr(*(f"p_{c} AS {c}" if c in ("doc_id", "line_no") else c for c in [x.split(" ")[0] for x in POSTING.split(", ")]))
+    late = late.withColumns(
+        {"size": F.shiftright("shape", 33), "rest": F.shiftright("shape", 2).bitwiseAND(LOW_31), "role": F.col("shape").bitwiseAND(3)}
+    )
     x = late.where("role % 2 = 1").join(open_lines, ["doc_id", "line_no"]).alias("x")
     y = late.where("role >= 2").alias("y")
     rest = x.join(y, (F.col("x.token") == F.col("y.token")) & passes(percent)).select(
@@ -370,7 +375,7 @@ def passes(percent: int) -> Column:
         (F.struct("y.doc_id", "y.line_no") < F.struct("x.doc_id", "x.line_no"))
         & (F.col("x.key") != F.col("y.key"))
         & (F.least("x.size", "y.size") >= need)
-        & (F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place")) >= need)
+        & (F.least("x.rest", "y.rest") >= need)
         & (F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= both - 2 * need)
     )
 
