@@ -21,6 +21,7 @@ MIX_2 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_3 = np.uint64(0x94D049BB133111EB)
 # Words (or other small values) a Python worker keeps between tasks.
 CACHE_ENTRIES = 500_000
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,13 +31,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once as Parquet to the folder all executors share, and read back with its columns.
 
-    The shuffle files behind it are of no more use then; Spark removes them once
-    the driver's JVM has collected their handles, so it is asked to.
+    The shuffle files behind it are of no more use then, so Spark removes them as the write ends.
     """
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def worker_store(name: str, make):
