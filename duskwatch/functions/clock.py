@@ -39,10 +39,11 @@ def capture(text: Column, pattern: str, groups: int) -> Column:
     """All groups of an anchored pattern from a single regex pass, to be read by ``Captured``.
 
     The groups follow an empty first element; a text without a match stays in
-    one piece.  A newline separates the groups, as a log line holds none.
+    one piece, or becomes NULL if it holds newlines, which separate the groups.
     """
     swap = "".join(f"\n${i}" for i in range(1, groups + 1))
-    return F.split(F.regexp_replace(text, F.lit(pattern), F.lit(swap)), "\n")
+    parts = F.split(F.regexp_replace(text, F.lit(pattern), F.lit(swap)), "\n")
+    return F.when(~text.contains("\n") | text.rlike(pattern), parts)
 
 
 def bind(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -89,7 +90,9 @@ def _syslog(part: Captured, year: Column) -> Column:
 def _rfc3339(part: Captured, year: Column) -> Column:
     at = _civil_micros(*[part[i].cast("int") for i in range(6)])
     fraction = F.when(part[6] == "", 0).otherwise(F.rpad(F.substring(part[6], 2, 6), 6, "0").cast("long"))
-    behind = F.when(part[7] == "", 0).otherwise(part[7].cast("long") * HOUR + part[8].cast("long") * MINUTE)
+    hours, minutes = part[7].cast("long"), part[8].cast("long")
+    # An offset out of range makes the time malformed.
+    behind = F.when(part[7] == "", 0).when((hours <= 24) & (minutes <= 60), hours * HOUR + minutes * MINUTE)
     return at + fraction + behind
 
 

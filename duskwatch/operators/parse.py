@@ -20,12 +20,12 @@ from ..schema import ACCEPTED_LOGIN, EXTRA_TYPE, FAILED_LOGIN, META_KEYS, PROCES
 
 # The line patterns.  (?d) limits "." to stopping at a newline.
 FAILED_LINE = (
-    r"(?d)^(\w+\s+\d+\s+[\d:]+)\s+my-server sshd\[\d+\]: Failed password for .*?(\S+) from ([\d\.]+).*$"
+    r"(?d)^(\w+[\t\n\f\r ]+\d+[\t\n\f\r ]+[\d:]+)[\t\n\f\r ]+my-server sshd\[\d+\]: Failed password for .*?(\S+) from ([\d\.]+).*$"
 )
 ACCEPTED_LINE = (
-    r"(?d)^(\w+\s+\d+\s+[\d:]+)\s+my-server sshd\[(\d+)\]: Accepted password for (\S+) from ([\d\.]+).*$"
+    r"(?d)^(\w+[\t\n\f\r ]+\d+[\t\n\f\r ]+[\d:]+)[\t\n\f\r ]+my-server sshd\[(\d+)\]: Accepted password for (\S+) from ([\d\.]+).*$"
 )
-PROCESS_LINE = r"(?d)^([\dTZ:.\-]+)\s+(\d+)\s+(\S+)\s+(\d+)\s+(\d+)\s+(\d+)\s+(.*)$"
+PROCESS_LINE = r"(?d)^([\dTZ:.\-]+)[\t\n\f\r ]+(\d+)[\t\n\f\r ]+(\S+)[\t\n\f\r ]+(\d+)[\t\n\f\r ]+(\d+)[\t\n\f\r ]+(\d+)[\t\n\f\r ]+(.*)$"
 PROCESS_SOURCE = "127.0.0.1"
 
 

@@ -14,7 +14,6 @@ from ..schema import FAILED_LOGIN, KEYWORD_KEYS, PROCESS, meta, micros
 from ..sources.checkpoint import checkpointed
 
 ROW_KEYS = ("process_name", "command", "pid", "ppid", "uid")
-DEFAULT_HITS = 10
 DEFAULT_TOP = 10
 MAX_DEPTH = 20
 # A process walk ends at these parents.
@@ -57,13 +56,13 @@ def search_events(
     filters: dict[str, str] | None = None,
     start: datetime | int | None = None,
     end: datetime | int | None = None,
-    limit: int | None = DEFAULT_HITS,
+    limit: int | None = None,
 ) -> DataFrame:
     """Process events that match every filter.
 
     Keyword keys match exactly; ``command`` and other keys match when they
     share a word with the filter, ignoring case.  Order: number of matched
-    words, then newest first.  ``limit=None`` returns all.
+    words, then newest first.  ``limit`` is the page size; without it all are returned.
     """
     found = in_time_range(_processes(events), start, end)
     scores = [F.lit(0)]

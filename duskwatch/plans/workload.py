@@ -269,7 +269,7 @@ def search_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def search_first_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _found(hunt.search_events(fx.security_events(spark, sf_dir), {"process_name": "wget"}))
+    return _found(hunt.search_events(fx.security_events(spark, sf_dir), {"process_name": "wget"}, limit=10))
 
 
 @query

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_HOST = "my-server"
-_OFFSET_BITS = 40
-_FILE_SLOTS = 1 << 22
+# Offsets up to 64 GB in a file, and 2^27 file numbers.
+_OFFSET_BITS = 36
+_FILE_SLOTS = 1 << 27
 _ROW_MASK = (1 << 33) - 1
 
 
@@ -27,6 +28,12 @@ def _host(path: Column, host_pattern: str | None) -> Column:
     return F.when(name == "", F.lit(DEFAULT_HOST)).otherwise(name)
 
 
+def line_number() -> Column:
+    """A number for each row of a text source, without a shuffle; it grows with the position in the file."""
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK).cast("long"))
+    return _file_slot(F.col("_metadata.file_path")) + F.col("_metadata.file_block_start") + row
+
+
 def read_log_lines(spark: SparkSession, path: str, host_pattern: str | None = None) -> DataFrame:
     """(seq, host, line) from text files, one row per line.
 
@@ -36,11 +43,9 @@ def read_log_lines(spark: SparkSession, path: str, host_pattern: str | None = No
     ``host_pattern`` is a regex whose first group takes the host from the path.
     """
     raw = spark.read.option("lineSep", "\n").text(path)
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK).cast("long"))
-    file = F.col("_metadata.file_path")
     return raw.select(
-        (_file_slot(file) + F.col("_metadata.file_block_start") + row).alias("seq"),
-        _host(file, host_pattern).alias("host"),
+        line_number().alias("seq"),
+        _host(F.col("_metadata.file_path"), host_pattern).alias("host"),
         F.col("value").alias("line"),
     )
 

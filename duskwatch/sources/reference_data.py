@@ -6,6 +6,7 @@ import os
 import warnings
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,11 +28,20 @@ def watchlist_from_lines(lines: DataFrame) -> DataFrame:
 
 
 def read_watchlist(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """The watchlist as a one-column table; a missing file warns and gives no rows."""
-    path = str(path or os.environ.get("DUSKWATCH_INTEL_PATH") or DEFAULT_WATCHLIST)
+    """The watchlist as a one-column table; a missing file warns and gives no rows, other errors fail.
+
+    Without a path, the list that comes with the package is read on the driver,
+    so it needs no file system that the executors share.
+    """
+    path = path or os.environ.get("DUSKWATCH_INTEL_PATH")
+    if path is None or path == "":
+        packaged = [(line,) for line in DEFAULT_WATCHLIST.read_text().splitlines()]
+        return watchlist_from_lines(spark.createDataFrame(packaged, "value string"))
     try:
-        lines = spark.read.text(path)
-    except Exception as e:  # AnalysisException: path does not exist
+        lines = spark.read.text(str(path))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         warnings.warn(f"watchlist not loaded: {e}")
         lines = spark.createDataFrame([], "value string")
     return watchlist_from_lines(lines)

@@ -1,8 +1,9 @@
 """Event and alert tables in Parquet.
 
-Layout: ``event_type=<lower-case type>/dt=<UTC day>/``.  Detectors and hunting
-queries name the event types and times they need, so Spark prunes the rest at
-planning time; within a file the flat metadata columns are pruned by the scan.
+Layout: ``event_type=<type>/dt=<UTC day>/``.  Detectors and hunting queries
+filter ``event_type``, so Spark prunes the other types at planning time, whoever
+applies the filter; the bounds given to ``read_events`` prune days.  Within a file
+the flat metadata columns are pruned by the scan.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from ..functions.export import event_from_json, event_json
 from ..functions.numbers import floor_div
 from ..plans.alerts import as_log_records
 from ..schema import ACCEPTED_LOGIN, ALERT_SCHEMA, EVENT_SCHEMA, FAILED_LOGIN, META_KEYS, PROCESS, micros
+from .logs import line_number
 
 EVENT_TYPES = {t.lower(): t for t in (FAILED_LOGIN, ACCEPTED_LOGIN, PROCESS)}
 STORE_SCHEMA = T.StructType(
     [f for f in EVENT_SCHEMA.fields if f.name != "event_type"]
-    + [T.StructField("event_kind", T.StringType()), T.StructField("index", T.StringType()), T.StructField("dt", T.DateType())]
+    + [T.StructField("event_type", T.StringType()), T.StructField("dt", T.DateType())]
 )
 
 
@@ -32,9 +34,7 @@ def _day(us: Column) -> Column:
 
 
 def _laid_out(events: DataFrame) -> DataFrame:
-    return events.withColumnRenamed("event_type", "event_kind").withColumns(
-        {"index": F.lower("event_kind"), "dt": _day(micros())}
-    )
+    return events.withColumn("dt", _day(micros()))
 
 
 def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
@@ -43,12 +43,12 @@ def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
     The rebalance hint merges small output files and splits partitions that
     are too large, so one busy day or type does not end up in one task.
     """
-    _laid_out(events).hint("rebalance", "index", "dt").write.mode(mode).partitionBy("index", "dt").parquet(path)
+    _laid_out(events).hint("rebalance", "event_type", "dt").write.mode(mode).partitionBy("event_type", "dt").parquet(path)
 
 
 def stream_events(events: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """The streaming counterpart of ``write_events``; exactly once by its checkpoint."""
-    writer = _laid_out(events).writeStream.format("parquet").partitionBy("index", "dt").outputMode("append")
+    writer = _laid_out(events).writeStream.format("parquet").partitionBy("event_type", "dt").outputMode("append")
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start(path)
 
 
@@ -62,7 +62,7 @@ def read_events(
     """Stored events with the fixed schema; type and days prune partitions."""
     stored = spark.read.schema(STORE_SCHEMA).parquet(path)
     if event_type is not None:
-        stored = stored.where(F.col("index") == event_type.lower())
+        stored = stored.where(F.lower("event_type") == event_type.lower())
     for bound, op in ((start, "ge"), (end, "le")):
         if bound is not None:
             at = bound if bound.tzinfo else bound.replace(tzinfo=timezone.utc)
@@ -71,7 +71,7 @@ def read_events(
             in_day = F.col("dt") >= F.lit(day) if op == "ge" else F.col("dt") <= F.lit(day)
             in_time = F.col("ts") >= F.timestamp_micros(F.lit(us)) if op == "ge" else F.col("ts") <= F.timestamp_micros(F.lit(us))
             stored = stored.where(in_day & in_time)
-    return stored.withColumnRenamed("event_kind", "event_type").select(*[f.name for f in EVENT_SCHEMA.fields])
+    return stored.select(*[f.name for f in EVENT_SCHEMA.fields])
 
 
 def write_event_documents(events: DataFrame, path: str, mode: str = "append") -> None:
@@ -82,12 +82,12 @@ def write_event_documents(events: DataFrame, path: str, mode: str = "append") ->
 
 
 def read_event_documents(spark: SparkSession, path: str, host: str = "my-server") -> DataFrame:
-    """JSON documents back to events; keys outside the fixed set go to ``extra``."""
-    doc = spark.read.text(path).select(event_from_json(F.col("value")).alias("d"))
+    """JSON documents back to events; keys outside the fixed set go to ``extra``, ``seq`` numbers the documents."""
+    doc = spark.read.text(path).select(line_number().alias("seq"), event_from_json(F.col("value")).alias("d"))
     known = F.array(*[F.lit(k) for k in META_KEYS])
     extra = F.map_filter("d.Metadata", lambda k, _: ~F.array_contains(known, k))
     return doc.select(
-        F.lit(None).cast("long").alias("seq"),
+        "seq",
         F.lit(host).alias("host"),
         F.to_timestamp("d.Timestamp").alias("ts"),
         F.col("d.EventType").alias("event_type"),
@@ -99,7 +99,7 @@ def read_event_documents(spark: SparkSession, path: str, host: str = "my-server"
 
 def write_alerts(alerts: DataFrame, path: str, mode: str = "append") -> None:
     """Alert records with id and log level, by day."""
-    as_log_records(alerts).withColumn("dt", _day(micros())).write.mode(mode).partitionBy("dt").parquet(path)
+    as_log_records(alerts).withColumn("dt", _day(micros())).hint("rebalance", "dt").write.mode(mode).partitionBy("dt").parquet(path)
 
 
 def stream_alerts(alerts: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:

@@ -130,8 +130,9 @@ def _sink(df: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuer
     return writer.trigger(**(trigger or {"availableNow": True})).start(path)
 
 
-def _read_stage(spark: SparkSession, path: str, schema: str, max_files: int = 1000) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+def _read_stage(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of an earlier stage, in whole batches of it: a cut through a batch would lose its order."""
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def brute_force_stage(

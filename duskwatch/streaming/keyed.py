@@ -26,6 +26,8 @@ class KeyedRule:
     hit_schema: str
     # State that can no longer matter this long after the last event; None = kept for ever.
     expiry_us: int | None = None
+    # Newest time that a state holds; a late batch must not bring its end forward.
+    newest_us: Callable[[tuple], int] | None = None
 
     @property
     def hit_columns(self) -> list[str]:
@@ -54,7 +56,7 @@ def apply_rule(df: DataFrame, rule: KeyedRule, watermark: str | None = None) ->
     state is removed once it can no longer matter.
     """
     expires = watermark is not None and rule.expiry_us is not None
-    hit_columns, step, expiry_us = rule.hit_columns, rule.step, rule.expiry_us
+    hit_columns, step, expiry_us, newest_us = rule.hit_columns, rule.step, rule.expiry_us, rule.newest_us
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -70,7 +72,8 @@ def apply_rule(df: DataFrame, rule: KeyedRule, watermark: str | None = None) ->
             state.update(after)
             if expires:
                 # Strictly after the window, whose end still counts.
-                due = int(rows["us"].iloc[-1] + expiry_us) // 1000 + 1
+                newest = max(int(rows["us"].iloc[-1]), newest_us(after) if newest_us else 0)
+                due = (newest + expiry_us) // 1000 + 1
                 state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(hits, columns=hit_columns)
 

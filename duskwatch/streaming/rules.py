@@ -21,9 +21,11 @@ def failed_logins(params: FailedLoginParams) -> KeyedRule:
         if alerted:
             return ([], True), []
         for host, us, seq in zip(rows["host"], rows["us"].tolist(), rows["seq"].tolist()):
-            times = [t for t in times if us - t <= span] + [us]
+            times = sorted([*times, us])
+            times = [t for t in times if times[-1] - t <= span]
+            # In order, the window ends at this row; a late row may fill one that ends later.
             if len(times) >= k:
-                return ([], True), [(host, us, seq, *key, len(times), span)]
+                return ([], True), [(host, times[-1], seq, *key, len(times), span)]
         return (times, False), []
 
     return KeyedRule(
@@ -61,9 +63,10 @@ def spray(params: SprayParams) -> KeyedRule:
         for host, us, seq, user in zip(rows["host"], rows["us"].tolist(), rows["seq"].tolist(), rows["user"]):
             last[user] = max(us, last.get(user, us))
             if len(last) >= k:
-                last = {u: t for u, t in last.items() if us - t <= span}
+                end = max(last.values())  # this row, unless it is late
+                last = {u: t for u, t in last.items() if end - t <= span}
             if len(last) >= k:
-                return ([], [], True), [(host, us, seq, *key, len(last), span)]
+                return ([], [], True), [(host, end, seq, *key, len(last), span)]
         return (list(last), list(last.values()), False), []
 
     return KeyedRule(
@@ -137,6 +140,7 @@ def rapid_process(params: RapidParams) -> KeyedRule:
         "times array<long>, counts array<long>, last_us long",
         HIT + ", process_count long, window_us long",
         cooldown + span,
+        lambda s: max(s[0], default=0),
     )
 
 
@@ -148,14 +152,14 @@ def new_account(window_us: int) -> KeyedRule:
         hits = []
         for us, seq, source, created in zip(rows["us"].tolist(), rows["seq"].tolist(), rows["source"], rows["opens"]):
             if created:
-                made = us
-            elif made is not None and us - made <= window_us:
+                made = us if made is None else max(made, us)
+            elif made is not None and 0 <= us - made <= window_us:
                 hits.append((key[0], us, seq, source, key[1], us - made))
                 made = None
         return (None if made is None else (made,)), hits
 
     return KeyedRule(
-        ("host", "user"), step, "made_us long", HIT + ", user string, gap_us long", window_us
+        ("host", "user"), step, "made_us long", HIT + ", user string, gap_us long", window_us, lambda s: s[0]
     )
 
 
@@ -168,14 +172,14 @@ def download_execute(window_us: int) -> KeyedRule:
         columns = zip(rows["us"].tolist(), rows["seq"].tolist(), rows["source"], rows["command"], rows["path"])
         for us, seq, source, command, path in columns:
             if path is not None:
-                staged[path] = (us, seq)
+                staged[path] = max(staged.get(path, (us, seq)), (us, seq))
                 continue
-            usable = [(at, p) for p, at in staged.items() if us - at[0] <= window_us and p in command]
+            usable = [(at, p) for p, at in staged.items() if at < (us, seq) and us - at[0] <= window_us and p in command]
             if usable:
                 (at, _), p = max(usable)
                 del staged[p]
                 hits.append((key[0], us, seq, source, command, p, us - at))
-        newest = int(rows["us"].iloc[-1])
+        newest = max([int(rows["us"].iloc[-1]), *(at[0] for at in staged.values())])
         live = {p: at for p, at in staged.items() if newest - at[0] <= window_us}
         if not live:
             return None, hits
@@ -187,6 +191,7 @@ def download_execute(window_us: int) -> KeyedRule:
         "paths array<string>, times array<long>, seqs array<long>",
         HIT + ", command string, path string, gap_us long",
         window_us,
+        lambda s: max(s[1]),
     )
 
 
@@ -220,8 +225,9 @@ def evasion(window_us: int) -> KeyedRule:
         columns = zip(rows["kind"], rows["us"].tolist(), rows["seq"].tolist(), rows["source"], rows["command"])
         for kind, us, seq, source, command in columns:
             if kind == "session":
-                session = (us, source)
-            elif session is not None and us - session[0] <= window_us:
+                if session is None or us >= session[0]:
+                    session = (us, source)
+            elif session is not None and 0 <= us - session[0] <= window_us:
                 hits.append((key[0], us, seq, session[1], command, key[1]))
                 session = None
         return session, hits
@@ -232,6 +238,7 @@ def evasion(window_us: int) -> KeyedRule:
         "login_us long, source string",
         HIT + ", command string, ppid string",
         window_us,
+        lambda s: s[0],
     )
 
 
@@ -243,10 +250,10 @@ def escalation(window_us: int) -> KeyedRule:
         columns = zip(rows["kind"], rows["host"], rows["us"].tolist(), rows["seq"].tolist(), rows["source"])
         for kind, host, us, seq, source in columns:
             if kind == "alert":
-                login = us
-            elif login is not None and us - login <= window_us:
+                login = us if login is None else max(login, us)
+            elif login is not None and 0 <= us - login <= window_us:
                 hits.append((host, us, seq, source, us - login))
                 login = None
         return (None if login is None else (login,)), hits
 
-    return KeyedRule(("link",), step, "login_us long", HIT + ", gap_us long", window_us)
+    return KeyedRule(("link",), step, "login_us long", HIT + ", gap_us long", window_us, lambda s: s[0])

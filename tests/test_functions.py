@@ -230,3 +230,16 @@ def test_event_json(spark):
     )
     back = spark.createDataFrame([(text,)], "d string").select(event_from_json(F.col("d")).alias("e")).first()["e"]
     assert back["Metadata"] == {"command": 'a <b> & "c"', "pid": "1"}
+
+
+def test_odd_lines(spark):
+    good = "2026-06-19T12:00:00Z 1000 bash 5 4 0 ls"
+    lines = [good, good.replace("Z ", "-99:99 "), good.replace("Z ", "-02:30 "), "hello\nworld", good.replace(" 1000", "\x0b1000")]
+    df = spark.createDataFrame([(i, "h", x) for i, x in enumerate(lines)], "seq long, host string, line string")
+    got = [r["disposition"] for r in parse_lines(df, 2026).orderBy("seq").collect()]
+    assert got == ["event", "error", "event", "ignored", "ignored"]
+
+
+def test_watchlist_errors_are_not_swallowed(spark):
+    with pytest.raises(Exception, match="nosuch"):
+        read_watchlist(spark, "nosuch://place/list.txt")

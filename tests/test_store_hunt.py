@@ -62,8 +62,8 @@ def sample(spark):
 def test_store_layout_and_pruning(spark, scratch):
     events = sample(spark)
     store.write_events(events, f"{scratch}/e")
-    assert sorted(d for d in os.listdir(f"{scratch}/e") if d.startswith("index")) == [
-        "index=process_executed", "index=sshd_accepted_password", "index=sshd_failed_password"]
+    assert sorted(d for d in os.listdir(f"{scratch}/e") if d.startswith("event_type")) == sorted(
+        f"event_type={t}" for t in store.EVENT_TYPES.values())
     back = store.read_events(spark, f"{scratch}/e")
     assert back.schema == events.schema
     assert sorted(map(str, back.collect())) == sorted(map(str, events.collect()))
@@ -71,7 +71,8 @@ def test_store_layout_and_pruning(spark, scratch):
     part = store.read_events(spark, f"{scratch}/e", PROCESS, start, end)
     assert part.count() == 144
     plan = part.select("pid")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(index" in plan and "process_executed" in plan
+    scan = plan[plan.index("PartitionFilters: [") :]
+    assert "event_type#" in scan[: scan.index("PushedFilters")] and "dt#" in scan[: scan.index("PushedFilters")]
     assert "ReadSchema: struct<ts:timestamp,pid:string>" in plan
     assert "PushedFilters: [IsNotNull(ts)" in plan
 
@@ -79,17 +80,27 @@ def test_store_layout_and_pruning(spark, scratch):
 def test_search_pushes_filters_down(spark, scratch):
     store.write_events(sample(spark), f"{scratch}/e")
     events = store.read_events(spark, f"{scratch}/e", PROCESS)
-    plan = hunt.search_events(events, {"pid": "105"}, BASE, BASE + 10**12)._jdf.queryExecution().executedPlan().toString()
+    plan = hunt.search_events(events, {"pid": "105"}, BASE, BASE + 10**12, limit=10)._jdf.queryExecution().executedPlan().toString()
     assert plan.startswith("TakeOrderedAndProject(limit=10")
     # The plan text cuts long lists; the scan node has them whole.
     scan = plan[plan.index("DataFilters: ") :]
     assert "pid#" in scan and "(ts#" in scan and "IsNotNull(pid)" in scan
 
 
+def test_any_reader_of_the_store_prunes_types(spark, scratch):
+    store.write_events(sample(spark), f"{scratch}/e")
+    events = store.read_events(spark, f"{scratch}/e")
+    for df in (hunt.search_events(events, {"pid": "105"}), hunt.top_events(events, "pid", 3)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        filters = plan[plan.index("PartitionFilters: [") :]
+        assert "event_type#" in filters[: filters.index("]")]
+
+
 def test_event_documents(spark, scratch):
     events = sample(spark)
     store.write_event_documents(events, f"{scratch}/d")
     back = store.read_event_documents(spark, f"{scratch}/d")
+    assert back.select("seq").distinct().count() == events.count() and back.where("seq is null").isEmpty()
     cols = ["ts", "event_type", "source", "user", "command", "pid"]
     assert sorted(map(str, back.select(*cols).collect())) == sorted(map(str, events.select(*cols).collect()))
 
@@ -115,6 +126,8 @@ def test_search(spark):
     assert seqs(filters={"command": "SUDO tmp"}) == [0, 1]
     assert seqs(filters={"command": "rm", "uid": "0"}) == [3, 0]
     assert seqs(filters={"return_code": "0"}) == []
+    many = frame(spark, [process(i, i, "bash", "ls", uid="0") for i in range(25)])
+    assert hunt.search_events(many).count() == 25
     assert seqs(limit=1) == [3] and len(seqs(limit=None)) == 4
     # Bounds are inclusive and cut to whole seconds; one bound alone is no range.
     assert seqs(start=BASE + S, end=BASE + 2 * S + 900_000) == [1]

@@ -1,5 +1,6 @@
 """Streaming detectors give the hits of their batch twins, with the input split over several files."""
 
+import pandas as pd
 import pytest
 from samples import S, frame, random_events
 
@@ -7,6 +8,7 @@ from duskwatch.operators import chains, stateless
 from duskwatch.operators import thresholds as th
 from duskwatch.schema import EVENT_SCHEMA
 from duskwatch.streaming import detect as sd
+from duskwatch.streaming import rules
 
 
 @pytest.fixture(scope="module")
@@ -99,3 +101,36 @@ def test_restart_writes_each_alert_once(spark, landed, scratch):
     run()
     cols = ["us", "seq", "source", "user"]
     assert rows(spark.read.parquet(f"{scratch}/out"), *cols) == rows(th.failed_login_hits(batch), *cols)
+
+
+def steps(rule, key, *batches):
+    state, hits = None, []
+    for batch in batches:
+        state, more = rule.step(key, state, pd.DataFrame(batch).sort_values(["us", "seq"], ignore_index=True))
+        hits += more
+    return hits
+
+
+def at(*seconds, **more):
+    return [{"host": "h", "us": int(t * S), "seq": int(t * 10), "source": "s", **more} for t in seconds]
+
+
+def test_late_rows_raise_no_false_alerts():
+    logins = rules.failed_logins(th.FailedLoginParams(threshold=5, window_us=60 * S))
+    assert steps(logins, ("s", "u"), at(1000, 1001, 1002, 1003), at(0)) == []
+    assert [h[1] for h in steps(logins, ("s", "u"), at(1000, 1001, 1002, 1003), at(999))] == [1003 * S]
+    assert steps(logins, ("s", "u"), at(61), at(0, 1, 2, 3)) == []
+    spray = rules.spray(th.SprayParams(threshold=3, window_us=60 * S))
+    late = [*at(1000, user="a"), *at(1001, user="b")], at(0, user="c")
+    assert steps(spray, ("s",), *late) == []
+    account = rules.new_account(300 * S)
+    assert steps(account, ("h", "u"), at(6000, opens=True), at(1000, opens=False)) == []
+    newest = at(6000, opens=True), at(5000, opens=True), at(6200, opens=False)
+    assert [h[-1] for h in steps(account, ("h", "u"), *newest)] == [200 * S]
+    staged = rules.download_execute(300 * S)
+    assert steps(staged, ("h",), at(6000, command=None, path="/tmp/a"), at(1000, command="sh /tmp/a", path=None)) == []
+    session = [{**r, "kind": "session"} for r in at(6000, command=None)]
+    early = [{**r, "kind": "evasion"} for r in at(1000, command="history -c")]
+    assert steps(rules.evasion(300 * S), ("h", "5"), session, early) == []
+    alert, attempt = [{**r, "kind": "alert"} for r in at(6000)], [{**r, "kind": "attempt"} for r in at(1000)]
+    assert steps(rules.escalation(300 * S), ("h",), alert, attempt) == []
