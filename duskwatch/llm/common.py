@@ -11,8 +11,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from duskwatch.sources.checkpoint import shared_folder
 
@@ -143,3 +145,74 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     return pair.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         roots.select("node", F.col("node").alias("component"))
     )
+
+
+def ranked(df: DataFrame, group: str, order: list, purpose: str) -> DataFrame:
+    """``df`` written once with ``pos``: each row's place in its ``group`` (nulls are one group) by ``order``, from 0.
+
+    Rows are dealt out in ranges of (group, order), so a group of any size is spread
+    over ranges; equal rows are told apart by their place in the input.  Each
+    range counts on its own; only its first group can have begun before it, so the
+    driver sees a few numbers a range, not a group.
+    """
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(group), *order, F.col("__tie")]
+    dealt = df.withColumn("__tie", F.monotonically_increasing_id())
+    dealt = dealt.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).drop("__tie")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, row, idx, head, last, begun = TaskContext.get().partitionId(), 0, 0, True, None, False
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            column = batch.column(group)
+            code = column.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            new = np.append(not begun or column[0].as_py() != last, code[1:] != code[:-1])
+            at = np.arange(n)
+            start = np.maximum.accumulate(np.where(new, at, -1))
+            places = np.where(start < 0, at + idx, at - start)
+            changes = np.cumsum(new)
+            heads = (changes <= (0 if begun else 1)) & head
+            idx, head, last, begun = int(places[-1]) + 1, bool(heads[-1]), column[-1].as_py(), True
+            extra = [pa.array(np.full(n, part), pa.int32()), pa.array(at + row), pa.array(places), pa.array(heads)]
+            row += n
+            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, "__part", "__row", "__idx", "__head"])
+
+    schema = StructType([*df.schema.fields, *StructType.fromDDL("__part int, __row long, __idx long, __head boolean").fields])
+    rows = staged(dealt.mapInArrow(count, schema), purpose)
+    ends = (
+        rows.groupBy("__part")
+        .agg(
+            F.min_by(F.struct(group), "__row").alias("first"),
+            F.max_by(F.struct(group), "__row").alias("last"),
+            (F.max_by("__idx", "__row") + 1).alias("n"),
+        )
+        .orderBy("__part")
+        .collect()  # one row a range
+    )
+    before, carried, previous = {}, 0, None
+    for e in ends:
+        carried = carried if previous is not None and e["first"] == previous else 0
+        before[e["__part"]] = carried
+        carried = e["n"] + (carried if e["first"] == e["last"] else 0)
+        previous = e["last"]
+    offsets = spark.createDataFrame([(p, n) for p, n in before.items() if n], "__part int, __before long")
+    pos = F.col("__idx") + F.when(F.col("__head"), F.coalesce("__before", F.lit(0))).otherwise(0)
+    return rows.join(F.broadcast(offsets), "__part", "left").select(*df.columns, pos.cast("long").alias("pos"))
+
+
+# crc32 in SQL, by the usual table of 256 entries that SQL makes itself.
+CRC32_TABLE = """crc(tab) AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))
+)"""
+
+
+def crc32_sql(text: str) -> str:
+    """SQL for the unsigned crc32 of an ASCII text expression; needs the table ``crc`` in scope."""
+    return (
+        f"xor(list_reduce([4294967295::BIGINT] || list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT), "
+        "lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+    )

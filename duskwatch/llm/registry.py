@@ -10,6 +10,7 @@ from duskwatch.llm.chat import op9_chat_formatting
 from duskwatch.llm.fingerprint import op8_document_fingerprints
 from duskwatch.llm.licences import OP1_SQL, op1_license_scan
 from duskwatch.llm.linededup import op4_line_dedup
+from duskwatch.llm.merkle import OP12_SQL, op12_merkle_manifest
 from duskwatch.llm.minhash import op7_minhash_near_dedup
 from duskwatch.llm.mixing import OP3_SQL, op3_poisson_mixing
 from duskwatch.llm.neighbours import op10_nearest_neighbours
@@ -30,8 +31,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_document_fingerprints,
         op9_chat_formatting,
         op10_nearest_neighbours,
+        op12_merkle_manifest,
     )
 }
 
 # Queries that SQL can express.
-LLM_ORACLES: dict[str, str] = {"op1_license_scan": OP1_SQL, "op3_poisson_mixing": OP3_SQL}
+LLM_ORACLES: dict[str, str] = {"op1_license_scan": OP1_SQL, "op3_poisson_mixing": OP3_SQL, "op12_merkle_manifest": OP12_SQL}
