@@ -15,6 +15,7 @@ from duskwatch.llm.minhash import op7_minhash_near_dedup
 from duskwatch.llm.mixing import OP3_SQL, op3_poisson_mixing
 from duskwatch.llm.neighbours import op10_nearest_neighbours
 from duskwatch.llm.packing import op6_best_fit_packing
+from duskwatch.llm.repair import OP11_SQL, op11_conversation_repair
 from duskwatch.llm.tokens import op2_token_files
 from duskwatch.llm.toxicity import op5_toxicity
 
@@ -31,9 +32,15 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_document_fingerprints,
         op9_chat_formatting,
         op10_nearest_neighbours,
+        op11_conversation_repair,
         op12_merkle_manifest,
     )
 }
 
 # Queries that SQL can express.
-LLM_ORACLES: dict[str, str] = {"op1_license_scan": OP1_SQL, "op3_poisson_mixing": OP3_SQL, "op12_merkle_manifest": OP12_SQL}
+LLM_ORACLES: dict[str, str] = {
+    "op1_license_scan": OP1_SQL,
+    "op3_poisson_mixing": OP3_SQL,
+    "op11_conversation_repair": OP11_SQL,
+    "op12_merkle_manifest": OP12_SQL,
+}
