@@ -15,6 +15,7 @@ from duskwatch.llm.minhash import op7_minhash_near_dedup
 from duskwatch.llm.mixing import OP3_SQL, op3_poisson_mixing
 from duskwatch.llm.neighbours import op10_nearest_neighbours
 from duskwatch.llm.packing import op6_best_fit_packing
+from duskwatch.llm.quality import op13_quality_classifier
 from duskwatch.llm.repair import OP11_SQL, op11_conversation_repair
 from duskwatch.llm.tokens import op2_token_files
 from duskwatch.llm.toxicity import op5_toxicity
@@ -34,6 +35,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_nearest_neighbours,
         op11_conversation_repair,
         op12_merkle_manifest,
+        op13_quality_classifier,
     )
 }
 
