@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +20,13 @@ TABLES = 4  # partitions of the nodes into such leaves
 ROUNDS, LEAST_CHANGE = 6, 0.02
 FIT_ROWS = 2_000  # bounded sample from which the split points of the leaves are taken
 BEAM, EXPANDED = 64, 16
-ENTRIES = 64  # nodes from which a query outside the index starts
+ENTRIES = 32  # nodes of the greatest length, from which each query starts besides its own
 SEED = 20240612
 
 
 @dataclass(frozen=True)
 class Index:
-    """vectors (node, v, lift), members (node, vec_id: those with the node's very vector), graph (node, ids, scores)."""
+    """vectors (node, v), members (node, vec_id: those with the node's very vector), graph (node, ids, scores)."""
 
     vectors: DataFrame
     members: DataFrame
@@ -33,17 +34,14 @@ class Index:
 
 
 def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(id, v) of the rows with an id and a finite, non-zero vector of the table's most frequent length."""
+    """(id, v) of the rows with an id and a vector that is not null or zero and has only finite components."""
     v = F.col(vector)
-    rows = vectors.select(F.col(key).cast("long").alias("id"), v.alias("v")).where(
+    return vectors.select(F.col(key).cast("long").alias("id"), v.alias("v")).where(
         F.col("id").isNotNull()
         & F.col("v").isNotNull()
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("v", lambda x: x != 0)
     )
-    lengths = rows.groupBy(F.size("v").alias("n")).count()
-    best = lengths.agg(F.max(F.struct("count", "n"))["n"].alias("n"))
-    return rows.join(F.broadcast(best), F.size("v") == F.col("n")).drop("n")
 
 
 def matrix(lists: pa.ListArray) -> np.ndarray:
@@ -70,14 +68,13 @@ GRAPH = "node long, ids array<long>, scores array<float>"
 
 
 def compare_group(groups: DataFrame, keep: int) -> DataFrame:
-    """For each row's group of (node, v, lift), each node's ``keep`` best others in the group, as GRAPH rows."""
+    """For each row's group of (node, v), each node's ``keep`` best others in the group, as GRAPH rows."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             group = batch.column("g")
             ends, values = group.offsets.to_numpy(), group.values
-            node, lift = values.field("node").to_numpy(), values.field("lift").to_numpy()
-            v = np.column_stack([matrix(values.field("v")).astype(np.float32), lift.astype(np.float32)]) if len(node) else np.zeros((0, 1), np.float32)
+            node, v = values.field("node").to_numpy(), matrix(values.field("v")).astype(np.float32)
             nodes, ids, scores = [], [], []
             for a, b in zip(ends, ends[1:], strict=False):
                 if b - a < 2:
@@ -141,56 +138,66 @@ def first_graph(vectors: DataFrame, n: int, degree: int) -> DataFrame:
                 above = (v @ planes[t].T > splits[t]) if len(v) else np.zeros((0, bits), bool)
                 leaf = (above * (1 << np.arange(bits, dtype=np.int64))).sum(axis=1).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(v), t, np.int32)), pa.array(leaf), *(batch.column(c) for c in ("node", "v", "lift"))],
-                    names=["tree", "leaf", "node", "v", "lift"],
+                    [pa.array(np.full(len(v), t, np.int32)), pa.array(leaf), *(batch.column(c) for c in ("node", "v"))],
+                    names=["tree", "leaf", "node", "v"],
                 )
 
     element = dict(vectors.dtypes)["v"]
-    placed = vectors.mapInArrow(leaves, f"tree int, leaf long, node long, v {element}, lift float")
+    placed = vectors.mapInArrow(leaves, f"tree int, leaf long, node long, v {element}")
     sizes = placed.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / (2 * LEAF)).alias("parts"))
     dealt = placed.join(sizes, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("node", "tree"), F.col("parts")))
-    groups = dealt.groupBy("tree", "leaf", "part").agg(F.collect_list(F.struct("node", "v", "lift")).alias("g"))
+    groups = dealt.groupBy("tree", "leaf", "part").agg(F.collect_list(F.struct("node", "v")).alias("g"))
     found = compare_group(groups, degree).withColumn("old", F.lit(False))
     alone = vectors.select("node", F.array().cast("array<long>").alias("ids"), F.array().cast("array<float>").alias("scores"), F.lit(False).alias("old"))
     return merged(found.union(alone), degree)
 
 
-def build_index(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", degree: int = DEGREE, rounds: int = ROUNDS) -> Index:
-    """Neighbour graph of all usable vectors for the largest inner product.
+def descent(nodes: DataFrame, n: int, degree: int, rounds: int) -> DataFrame:
+    """GRAPH rows of ``n`` nodes (node, v) whose vectors have one length.
 
-    Equal vectors are one node.  A coordinate "lift" brings all vectors to
-    one length, so near nodes are those with a large inner product.  From the neighbours
-    within random leaves, each round joins each node's neighbours with each other (those it names and those
-    that name it, a bounded number of each) and keeps the best, until few lists change.  All
-    groups are bounded by the degree, so a popular node loads no task.
+    From the neighbours within random leaves, each round joins each node's neighbours with each other: the SAMPLED
+    nearest it names, and as many of those that name it, by a hash.  It ends when few lists change.  A group is at
+    most 2 * SAMPLED vectors, however many name a node; a popular node is met in parts, as the join
+    is by a key that adaptive execution splits.
     """
-    rows = usable(vectors, key, vector)
-    grouped = staged(rows.groupBy("v").agg(F.min("id").alias("node")), "ann-nodes")
-    longest = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    top = grouped.agg(F.max(longest)).first()[0]
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    lift = F.sqrt(F.greatest(F.lit(0.0), F.lit(float(top or 0.0) ** 2) - square)).cast("float")
-    nodes = staged(grouped.select("node", "v", lift.alias("lift")), "ann-vectors")
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))
-    # No search needs more of a node's members than it returns; those of the least ids come first.
-    members = rows.join(grouped, "v").select("node", F.col("id").alias("vec_id")).withColumn("rank", rank)
-    n = nodes.count()
-    if n == 0:
-        empty = nodes.sparkSession.createDataFrame([], GRAPH)
-        return Index(nodes, staged(members, "ann-members"), empty)
     graph = staged(first_graph(nodes, n, degree), "ann-graph")
     for turn in range(rounds):
-        named = graph.select("node", F.slice("ids", 1, SAMPLED).alias("ids")).select(F.col("node").alias("of"), F.explode("ids").alias("nb"))
+        named = graph.select(F.col("node").alias("of"), F.explode(F.slice("ids", 1, SAMPLED)).alias("nb"))
+        # Of a node that many name, each task passes on no more than it may keep.
         pick = F.row_number().over(Window.partitionBy("nb").orderBy(F.xxhash64("of", "nb", F.lit(turn)), "of"))
-        kept = named.withColumn("pick", pick).where(F.col("pick") <= SAMPLED).select("of", "nb")
-        pairs = kept.union(kept.select(F.col("nb").alias("of"), F.col("of").alias("nb"))).distinct()
-        held = pairs.join(nodes.withColumnRenamed("node", "nb"), "nb")
-        groups = held.groupBy("of").agg(F.collect_list(F.struct(F.col("nb").alias("node"), "v", "lift")).alias("g"))
+        naming = named.withColumn("pick", pick).where(F.col("pick") <= SAMPLED).select(F.col("nb").alias("of"), F.col("of").alias("nb"))
+        held = named.union(naming).distinct().join(nodes.withColumnRenamed("node", "nb"), "nb")
+        groups = held.groupBy("of").agg(F.collect_list(F.struct(F.col("nb").alias("node"), "v")).alias("g"))
         found = compare_group(groups, SAMPLED).withColumn("old", F.lit(False))
         graph = staged(merged(found.union(graph.select("node", "ids", "scores", F.lit(True).alias("old"))), degree), "ann-graph")
         if graph.agg(F.sum("fresh")).first()[0] < LEAST_CHANGE * n * degree:
             break
-    return Index(nodes, staged(members, "ann-members"), graph.select("node", "ids", "scores"))
+    return graph.select("node", "ids", "scores")
+
+
+def build_index(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", degree: int = DEGREE, rounds: int = ROUNDS) -> Index:
+    """Neighbour graph of all usable vectors, near by the inner product of the vectors themselves.
+
+    Vectors of any lengths may occur; long ones are neighbours of many, and a search climbs to them as it should.
+    Equal vectors are one node, of the least id.  Vectors with different numbers of components have no inner product
+    and are indexed side by side, one graph for each number (read by the driver: a few).
+
+    Defined cases: rows without id, and vectors that are null, zero or hold null or non-finite components
+    take no part; rows that repeat an id with another vector are members of both nodes; no usable
+    vector gives an empty index; other columns are ignored.
+    """
+    rows = usable(vectors, key, vector)
+    grouped = staged(rows.groupBy("v").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")), "ann-nodes")
+    # An id that has several vectors names its node by the first; others get numbers of their own below all ids.
+    twice = F.row_number().over(Window.partitionBy("low").orderBy("v"))
+    nodes = staged(grouped.withColumn("nth", twice).select(F.when(F.col("nth") == 1, F.col("low")).otherwise(-F.abs(F.xxhash64("low", "nth"))).alias("node"), "v", "n"), "ann-vectors")
+    members = staged(rows.join(nodes.select("v", "node"), "v").select("node", F.col("id").alias("vec_id")).distinct(), "ann-members")
+    sizes = {r["d"]: r["n"] for r in nodes.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    nodes = nodes.select("node", "v")
+    if not sizes:
+        return Index(nodes, members, nodes.sparkSession.createDataFrame([], GRAPH))
+    graphs = [descent(nodes.where(F.size("v") == d) if len(sizes) > 1 else nodes, n, degree, rounds) for d, n in sorted(sizes.items())]
+    return Index(nodes, members, reduce(DataFrame.union, graphs))
 
 
 def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM) -> DataFrame:
@@ -199,24 +206,33 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM) -> D
     ``own`` is the query's vec_id in the index, never returned, or null.  A query keeps
     its best ``beam`` nodes; each round expands the best ones not expanded yet, for all
     queries at once by joins with the graph and the vectors, until none is left.
-    A query that is in the index starts from its own node, others from ENTRIES nodes.
+    A query starts from its own node, if it is in the index, and from the ENTRIES nodes of the greatest length.
+
+    Defined cases: ties go to the smaller vec_id; fewer than ``k`` candidates are all returned if the
+    search reaches them, as it does when there are no more than ENTRIES nodes; queries whose vector has another
+    number of components than all nodes get no rows; no queries or an empty index: no rows.
     """
     nodes = index.vectors.select("node", "v")
-    home = index.members.select(F.col("vec_id").alias("own"), F.col("node").alias("start"))
-    placed = staged(queries.join(home, "own", "left"), "ann-queries")
-    entries = index.vectors.select(F.col("node").alias("entry")).orderBy(F.xxhash64("entry")).limit(ENTRIES)
-    lost = placed.where("start is null").join(F.broadcast(entries), F.lit(True)).select("query_id", F.col("entry").alias("node"))
-    wanted = placed.where("start is not null").select("query_id", F.col("start").alias("node")).union(lost)
+    placed = staged(queries, "ann-queries")
+    home = index.members.select(F.col("vec_id").alias("own"), "node")
+    norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    longest = F.row_number().over(Window.partitionBy(F.size("v")).orderBy(F.desc(norm), "node"))
+    # ENTRIES rows for each number of components.
+    entries = nodes.withColumn("nth", longest).where(F.col("nth") <= ENTRIES).select("node", F.size("v").alias("d"))
+    own = placed.join(home, "own").select("query_id", "node")
+    wanted = own.union(placed.join(F.broadcast(entries), F.size("q") == F.col("d")).select("query_id", "node")).distinct()
     vectors_of = placed.select("query_id", "q")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            q, v = matrix(batch.column("q")).astype(np.float64), matrix(batch.column("v")).astype(np.float64)
-            s = np.einsum("nd,nd->n", q, v) if len(q) else np.zeros(0)
+            q, v = batch.column("q"), batch.column("v")
+            sizes = np.diff(q.offsets.to_numpy())
+            product = q.flatten().to_numpy(zero_copy_only=False).astype(np.float64) * v.flatten().to_numpy(zero_copy_only=False)
+            s = np.add.reduceat(product, np.cumsum(sizes) - sizes) if len(sizes) else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("node"), pa.array(s)], names=["query_id", "node", "score"])
 
     def scored(pairs: DataFrame) -> DataFrame:
-        met = pairs.join(nodes, "node").join(vectors_of, "query_id").select("query_id", "node", "q", "v")
+        met = pairs.join(nodes, "node").join(vectors_of, "query_id").where(F.size("q") == F.size("v")).select("query_id", "node", "q", "v")
         return met.mapInArrow(score, "query_id long, node long, score double")
 
     # The beam: (negative score, node, expanded), so that ascending order is nearest first, then by id.
@@ -248,7 +264,9 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM) -> D
         )
         state = staged(beam_of(new.union(old)), "ann-beam")
     found = state.select("query_id", F.explode("beam").alias("e")).select("query_id", F.col("e.node").alias("node"), (-F.col("e.s")).alias("score"))
-    members = index.members.where(F.col("rank") <= k + 1).select("node", "vec_id")
+    # No query returns more of a node's members than k; those of the least ids come first.
+    least = F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))
+    members = index.members.withColumn("rank", least).where(F.col("rank") <= k + 1).select("node", "vec_id")
     every = found.join(members, "node").join(placed.select("query_id", "own"), "query_id").where(~F.col("vec_id").eqNullSafe(F.col("own")))
     order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return every.withColumn("rank", order).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -441,3 +441,34 @@ def test_nearest_neighbours(spark):
     assert sorted(r["vec_id"] for r in small) == [1, 2, 3, 4]
     empty = frame.limit(0)
     assert neighbours.search(neighbours.build_index(empty), queries.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["unit", "lognormal", "clustered"])
+def test_recall_of_the_nearest_neighbours(spark, kind):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((1500, 32))
+    if kind == "clustered":  # and one vector that a third of the rows share
+        x = x[:15][rng.integers(0, 15, 1500)] + 0.3 * x
+        x *= rng.lognormal(0, 0.5, (1500, 1))
+        x[::3] = x[1]
+    else:
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "lognormal":
+        x *= rng.lognormal(0, 1, (1500, 1))
+    rows = [(i, v) for i, v in enumerate(x.tolist())] + [(20, x[20].tolist()), (5000, [1.0, 2.0]), (5020, [3.0, 1.0]), (5001, [0.5, -1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    queries = neighbours.usable(frame).where("id % 20 = 0").select(F.col("id").alias("query_id"), F.col("v").alias("q"), F.col("id").alias("own")).distinct()
+    got: dict = {}
+    for r in neighbours.search(neighbours.build_index(frame), queries).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    hits = 0
+    for q in range(0, 1500, 20):
+        s = x @ x[q]
+        order = [i for i in np.lexsort((np.arange(1500), -s)) if i != q][:20]
+        mine = sorted(got[q])
+        assert [r for r, _, _ in mine] == list(range(1, 21)) and len({v for _, v, _ in mine}) == 20
+        assert [c for _, _, c in mine] == pytest.approx([float(s[v]) for _, v, _ in mine])
+        hits += len({v for _, v, _ in mine} & set(order))
+    assert hits >= 0.9 * 20 * 75
+    # Vectors of another number of components are searched among themselves.
+    assert [v for _, v, _ in sorted(got[5000])] == [5020, 5001] and [v for _, v, _ in sorted(got[5020])] == [5000, 5001]
