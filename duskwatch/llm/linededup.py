@@ -9,10 +9,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskwatch.llm.common import MIX_1, mixed, no_gc, staged, table, word_hashes
+from duskwatch.llm.common import MIX_1, mixed, no_gc, ranked, staged, table, word_hashes
 
 PERCENT = 80
 # Token counts are kept by hash bucket, so what the driver broadcasts is 1 MB for any corpus.
@@ -23,7 +23,11 @@ BLOCK_LINES = 50_000
 # Matches reported for a line and token before the rest of the group is deferred.
 FIRST_MATCHES = 4
 TOKEN_BITS = 44
-LOW_TOKEN, LOW_36, LOW_31 = np.uint64((1 << 44) - 1), np.uint64((1 << 36) - 1), (1 << 31) - 1
+LOW_TOKEN, LOW_36 = np.uint64((1 << 44) - 1), np.uint64((1 << 36) - 1)
+# What str.split() leaves as words: white space there is Unicode's, and the four separators.
+WORD = r"(?U)[^\s\x1c-\x1f\x85]"
+# A posting packs 32 bits of its token, the tokens left from it on and the role; and its line's number and size.
+MOST_SIZE = (1 << 24) - 1
 
 
 def word_lines(texts: list[str | None], most_words: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -63,41 +67,36 @@ def line_starts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def line_keys(docs: DataFrame) -> DataFrame:
-    """One row a line: doc_id, line_no and the 128-bit key of its token set; and rows of token counts by bucket."""
+    """One row a line: doc_id, mark, line_no and the 128-bit key of its token set; and rows of token counts by bucket."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNT_BUCKETS, dtype=np.int64)
-        schema = pa.schema(
-            [("doc_id", pa.int64()), ("line_no", pa.int32()), ("key_1", pa.int64()), ("key_2", pa.int64()), ("chunk", pa.int32()), ("task", pa.int32()), ("counts", pa.binary())]
-        )
-
-        def nulls(n: int, kind) -> pa.Array:
-            return pa.nulls(n, kind)
-
+        fields = [("doc_id", pa.int64()), ("mark", pa.int64()), ("line_no", pa.int32()), ("key_1", pa.int64()), ("key_2", pa.int64()), ("chunk", pa.int32()), ("task", pa.int32()), ("counts", pa.binary())]
+        schema = pa.schema(fields)
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            ids, marks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "mark"))
             with no_gc():
                 for rows, numbers, keys in word_lines(batch.column("text").to_pylist()):
                     starts, _ = line_starts(keys)
                     token = keys & LOW_TOKEN
                     counts += np.bincount((token & np.uint64(COUNT_BUCKETS - 1)).astype(np.int64), minlength=COUNT_BUCKETS)
-                    with np.errstate(over="ignore"):
-                        one = np.add.reduceat(mixed(token + MIX_1), starts)
-                        two = np.add.reduceat(mixed(token * MIX_1 + np.uint64(1)), starts)
-                    n = len(rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[rows]), pa.array(numbers, pa.int32()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), nulls(n, pa.int32()), nulls(n, pa.int32()), nulls(n, pa.binary())],
-                        schema=schema,
-                    )
+                    own = [pa.array(ids[rows]), pa.array(marks[rows]), pa.array(numbers, pa.int32()), *map(pa.array, set_keys(token, starts))]
+                    yield pa.RecordBatch.from_arrays([*own, *(pa.nulls(len(rows), kind) for _, kind in fields[5:])], schema=schema)
         if counts.any():
             n = COUNT_BUCKETS // COUNT_CHUNK
             packed = [zlib.compress(c.tobytes(), 1) for c in counts.astype("<i8").reshape(n, COUNT_CHUNK)]
-            yield pa.RecordBatch.from_arrays(
-                [nulls(n, pa.int64()), nulls(n, pa.int32()), nulls(n, pa.int64()), nulls(n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([TaskContext.get().partitionId()] * n, pa.int32()), pa.array(packed, pa.binary())],
-                schema=schema,
-            )
+            sums = [pa.array(range(n), pa.int32()), pa.array([TaskContext.get().partitionId()] * n, pa.int32()), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(n, kind) for _, kind in fields[:5]), *sums], schema=schema)
+
+    return docs.mapInArrow(read, "doc_id long, mark long, line_no int, key_1 long, key_2 long, chunk int, task int, counts binary")
 
-    return docs.mapInArrow(read, "doc_id long, line_no int, key_1 long, key_2 long, chunk int, task int, counts binary")
+
+def set_keys(token: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit keys of each line's token set."""
+    with np.errstate(over="ignore"):
+        one = np.add.reduceat(mixed(token + MIX_1), starts)
+        two = np.add.reduceat(mixed(token * MIX_1 + np.uint64(1)), starts)
+    return one.view(np.int64), two.view(np.int64)
 
 
 def rarity_codes(lines: DataFrame) -> np.ndarray:
@@ -130,21 +129,20 @@ def rarity_codes(lines: DataFrame) -> np.ndarray:
     return out
 
 
-# ``shape`` holds the line's size (from bit 33), the tokens from this one on (31 bits) and the role (2 bits).
-POSTING = "token long, doc_id long, line_no int, shape long, parity long, key long"
 # The code of a bucket that counts one line.
 ALONE = 6
 
 
-def postings(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int) -> DataFrame:
-    """The prefix tokens of each line, rarest first, with what the filters need.
+def prefixes(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int) -> DataFrame:
+    """(key_1, key_2, size, parity, tokens): of each line the prefix tokens, rarest first, and what the filters need.
 
     Sets with at least ``percent`` similarity share a token among the first
     n - ceil(percent n) + 1 of the common order (rarity code, token).  Lines of a token whose
     bucket counts more than ``block_lines`` are dealt into square blocks: each line meets
     each block once as the later (role 1) and once as the earlier one (role 2).
-    Of equal lines in one batch part, the first stands for all.  Tokens whose
-    bucket counts one line have no partner and are left out.
+    Of equal lines in one batch part, one stands for all.  Tokens whose
+    bucket counts one line have no partner and are left out.  ``tokens`` packs 32
+    bits of each token, the number of tokens from it on and the role.
     """
     shared = docs.sparkSession.sparkContext.broadcast(codes)
 
@@ -152,41 +150,51 @@ def postings(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int)
         code_of = shared.value
         blocks_of = np.maximum(1, np.ceil((np.exp2(np.arange(256) / 6) - 1) / block_lines)).astype(np.int64)
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             with no_gc():
-                for rows, numbers, keys in word_lines(batch.column("text").to_pylist()):
+                for _, _, keys in word_lines(batch.column("text").to_pylist()):
                     starts, sizes = line_starts(keys)
                     token = keys & LOW_TOKEN
-                    with np.errstate(over="ignore"):
-                        key = np.add.reduceat(mixed(token + MIX_1), starts)
-                        parity = np.bitwise_xor.reduceat(np.uint64(1) << (mixed(token) >> np.uint64(58)), starts)
+                    one, two = set_keys(token, starts)
+                    parity = np.bitwise_xor.reduceat(np.uint64(1) << (mixed(token) >> np.uint64(58)), starts)
                     code = code_of[(token & np.uint64(COUNT_BUCKETS - 1)).astype(np.int64)].astype(np.uint64)
                     line = keys >> np.uint64(TOKEN_BITS)
-                    ranked = np.sort((line << np.uint64(TOKEN_BITS)) | (code << np.uint64(36)) | (token & LOW_36))
-                    of = (ranked >> np.uint64(TOKEN_BITS)).astype(np.int64)
-                    place = np.arange(len(ranked)) - starts[of]
+                    ranked_tokens = np.sort((line << np.uint64(TOKEN_BITS)) | (code << np.uint64(36)) | (token & LOW_36))
+                    of = (ranked_tokens >> np.uint64(TOKEN_BITS)).astype(np.int64)
+                    place = np.arange(len(ranked_tokens)) - starts[of]
                     prefix = sizes - (sizes * percent + 99) // 100 + 1
-                    first = np.zeros(len(rows), dtype=bool)
-                    first[np.unique(key, return_index=True)[1]] = True
-                    keep = (place < prefix[of]) & first[of] & ((ranked & LOW_TOKEN) >> np.uint64(36) > ALONE)
-                    of, place, ranked = of[keep], place[keep], ranked[keep] & LOW_TOKEN
+                    first = np.zeros(len(starts), dtype=bool)
+                    first[np.unique(np.stack([one, two]), axis=1, return_index=True)[1]] = True
+                    keep = (place < prefix[of]) & first[of] & ((ranked_tokens & LOW_TOKEN) >> np.uint64(36) > ALONE)
+                    of, place, tokens = of[keep], place[keep], ranked_tokens[keep] & LOW_TOKEN
                     role = np.full(len(of), 3, dtype=np.int64)
-                    blocks = blocks_of[(ranked >> np.uint64(36)).astype(np.int64)]
+                    blocks = blocks_of[(tokens >> np.uint64(36)).astype(np.int64)]
                     if (blocks > 1).any():
-                        of, place, ranked, role = in_blocks(of, place, ranked, blocks, key)
+                        of, place, tokens, role = in_blocks(of, place, tokens, blocks, one.view(np.uint64))
+                        order = np.argsort(of, kind="stable")
+                        of, place, tokens, role = of[order], place[order], tokens[order], role[order]
+                    lines, begin = np.unique(of, return_index=True)
+                    rest = np.minimum(sizes[of] - place, MOST_SIZE)
+                    packed = ((mixed(tokens) >> np.uint64(32)) << np.uint64(32)).view(np.int64) | (rest << 2) | role
+                    ends = np.append(begin, len(of)).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(ranked.view(np.int64)),
-                            pa.array(ids[rows[of]]),
-                            pa.array(numbers[of], pa.int32()),
-                            pa.array((sizes[of] << 33) | ((sizes[of] - place) << 2) | role),
-                            pa.array(parity[of].view(np.int64)),
-                            pa.array(key[of].view(np.int64)),
+                            pa.array(one[lines]),
+                            pa.array(two[lines]),
+                            pa.array(np.minimum(sizes[lines], MOST_SIZE)),
+                            pa.array(parity[lines].view(np.int64)),
+                            pa.ListArray.from_arrays(pa.array(ends), pa.array(packed)),
                         ],
-                        names=["token", "doc_id", "line_no", "shape", "parity", "key"],
+                        names=["key_1", "key_2", "size", "parity", "tokens"],
                     )
 
-    return docs.mapInArrow(read, POSTING)
+    return docs.select("text").mapInArrow(read, "key_1 long, key_2 long, size long, parity long, tokens array<long>")
+
+
+def postings(docs: DataFrame, classes: DataFrame, codes: np.ndarray, percent: int, block_lines: int) -> DataFrame:
+    """(token, line, parity): a row for each line class and prefix token; ``line`` is the class's number and size."""
+    numbered = prefixes(docs, codes, percent, block_lines).join(classes.select("key_1", "key_2", "c"), ["key_1", "key_2"])
+    line = F.shiftleft("c", 24) + F.col("size")
+    return numbered.select(F.explode("tokens").alias("token"), line.alias("line"), "parity")
 
 
 def in_blocks(of, place, ranked, blocks, key) -> tuple:
@@ -206,106 +214,93 @@ def in_blocks(of, place, ranked, blocks, key) -> tuple:
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def bit_count(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x)
-
-
-MATCH = f"doc_id long, line_no int, other_id long, other_no int, more boolean, {POSTING.replace('doc_id', 'p_doc_id').replace('line_no', 'p_line_no')}"
-
-
 def first_matches(sorted_postings: DataFrame, percent: int, most: int = FIRST_MATCHES) -> DataFrame:
-    """Candidates (doc_id, line_no, other_id, other_no) among lines that share a prefix token; the other line is earlier.
+    """Candidates (c, o, more) among line classes that share a prefix token; o is the earlier one.
 
-    The input comes sorted by (token, doc_id, line_no) within partitions.  All
+    The input comes sorted by (token, line) within partitions.  All
     groups of a batch are compared at once, row against the row d before it,
-    for d = 1, 2, ...; a line leaves after ``most`` candidates, so a group of copies
-    costs time in proportion to its size.  If a line left with rows to
-    go, ``more`` is set and the postings of its group are passed on (columns from
-    token on), so that the rest can be compared if these candidates fail.
+    for d = 1, 2, ...; a line leaves after ``most`` candidates, so a group of near copies
+    costs time in proportion to its size.  ``more`` tells that a line left with rows to go.
 
-    Filters: sizes, tokens left from the shared one on, and the bits in which
-    the parity bitmaps differ, a lower bound of the symmetric difference.
+    Filters: the bits in which the parity bitmaps differ, a lower bound of the symmetric difference, sizes, and tokens left from
+    the shared one on.
     """
-    names = ["token", "doc_id", "line_no", "shape", "parity", "key"]
 
-    def compare(c: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        n = len(c["token"])
-        new = np.append(True, c["token"][1:] != c["token"][:-1])
-        start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        depth = np.arange(n) - start
+    def compare(token: np.ndarray, line: np.ndarray, parity: np.ndarray) -> pa.RecordBatch:
+        group = token >> 32
+        fresh = np.append(True, (group[1:] != group[:-1]) | (line[1:] != line[:-1]) | ((token[1:] ^ token[:-1]) & 3 != 0))
+        token, line, parity, group = token[fresh], line[fresh], parity[fresh].view(np.uint64), group[fresh]
+        n = len(token)
+        new = np.append(True, group[1:] != group[:-1])
+        depth = np.arange(n) - np.maximum.accumulate(np.where(new, np.arange(n), 0))
         found, more = np.zeros(n, np.int32), np.zeros(n, bool)
         left, right = [], []
-        size, rest, role = c["shape"] >> 33, (c["shape"] >> 2) & LOW_31, c["shape"] & 3
-        parity, key = c["parity"].view(np.uint64), c["key"]
+        number, size, rest, role = line >> 24, line & MOST_SIZE, (token & 0xFFFFFFFF) >> 2, token & 3
+        # The other set has at most size / percent tokens; a size that is too large to note passes.
+        widest = np.where(size < MOST_SIZE, (size * (100 - percent)) // percent, 64)
         active, d = np.flatnonzero((depth >= 1) & (role & 1 > 0)), 1
         while len(active):
-            i, j = active, active - d
+            near = np.bitwise_count(parity[active] ^ parity[active - d]) <= widest[active]
+            i = active[near]
+            j = i - d
             both = size[i] + size[j]
             need = -(-both * percent // (100 + percent))  # common tokens at this similarity
-            ok = (role[j] & 2 > 0) & (np.minimum(rest[i], rest[j]) >= need) & (key[i] != key[j])
-            ok &= (bit_count(parity[i] ^ parity[j]) <= both - 2 * need) & (np.minimum(size[i], size[j]) >= need)
-            left.append(i[ok])
-            right.append(j[ok])
-            found[i[ok]] += 1
+            ok = (role[j] & 2 > 0) & (number[i] != number[j])
+            fits = (np.minimum(rest[i], rest[j]) >= need) & (np.minimum(size[i], size[j]) >= need)
+            fits &= np.bitwise_count(parity[i] ^ parity[j]) <= both - 2 * need
+            ok &= fits | (np.maximum(size[i], size[j]) >= MOST_SIZE)
+            i, j = i[ok], j[ok]
+            left.append(i)
+            right.append(j)
+            found[i] += 1
             d += 1
-            full = found[i] >= most
-            more[i[full & (depth[i] >= d)]] = True
-            active = i[~full & (depth[i] >= d)]
+            going = depth[active] >= d
+            full = found[active] >= most
+            more[active[full & going]] = True
+            active = active[~full & going]
         i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-        deferred = np.flatnonzero(np.isin(start, start[more]))
-        a, b = len(i), len(deferred)
-
-        def column(name: str, kind) -> pa.Array:
-            return pa.concat_arrays([pa.nulls(a, kind), pa.array(c[name][deferred], kind)])
-
-        def pair(values: np.ndarray, kind) -> pa.Array:
-            return pa.concat_arrays([pa.array(values, kind), pa.nulls(b, kind)])
-
-        yield pa.RecordBatch.from_arrays(
-            [
-                pair(c["doc_id"][i], pa.int64()), pair(c["line_no"][i], pa.int32()),
-                pair(c["doc_id"][j], pa.int64()), pair(c["line_no"][j], pa.int32()), pair(more[i], pa.bool_()),
-                column("token", pa.int64()), column("doc_id", pa.int64()), column("line_no", pa.int32()),
-                column("shape", pa.int64()), column("parity", pa.int64()), column("key", pa.int64()),
-            ],
-            names=[x.split(" ")[0] for x in MATCH.split(", ")],
-        )
+        return pa.RecordBatch.from_arrays([pa.array(number[i]), pa.array(number[j]), pa.array(more[i])], names=["c", "o", "more"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict[str, np.ndarray]] = []
+        held: list[tuple] = []
         for batch in batches:
-            c = {x: batch.column(x).to_numpy(zero_copy_only=False) for x in names}
+            c = [batch.column(x).to_numpy(zero_copy_only=False) for x in ("token", "line", "parity")]
             if not batch.num_rows:
                 continue
-            cut = int(np.searchsorted(c["token"] == c["token"][-1], True))  # the last token may go on
-            if cut or c["token"][-1] != (held[-1]["token"][-1] if held else None):
-                whole = [*held, {x: v[:cut] for x, v in c.items()}]
-                yield from compare({x: np.concatenate([w[x] for w in whole]) for x in names})
+            group = c[0] >> 32
+            cut = int(np.searchsorted(group == group[-1], True))  # the last token may go on
+            if held and (cut or held[-1][0][-1] >> 32 != group[-1]):
+                yield compare(*(np.concatenate([h[k] for h in held] + [c[k][:cut]]) for k in range(3)))
                 held = []
-            held.append({x: v[cut:] for x, v in c.items()})
+            elif cut:
+                yield compare(*(x[:cut] for x in c))
+            held.append(tuple(x[cut:] for x in c))
         if held:
-            yield from compare({x: np.concatenate([w[x] for w in held]) for x in names})
+            yield compare(*(np.concatenate([h[k] for h in held]) for k in range(3)))
 
-    return sorted_postings.mapInArrow(read, MATCH)
+    return sorted_postings.mapInArrow(read, "c long, o long, more boolean")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The later lines (doc_id, line_no) of the candidate pairs that are alike enough as word sets."""
-    wanted = pairs.select("doc_id", "line_no").union(pairs.select("other_id", "other_no")).distinct()
-    by_doc = wanted.groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted"))
+def line_texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(c, line): the texts of the line classes ``wanted`` (c), each from where it stands first."""
+    places = classes.select("c", "first.*").join(wanted, "c").groupBy("doc_id", "mark")
+    by_doc = places.agg(F.collect_list(F.struct("line_no", "c")).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, numbers, lines = [], [], []
-            for doc_id, text, nos in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "wanted")), strict=True):
-                split = (text or "").lower().split("\n")
-                nos = [n for n in nos if n < len(split)]
-                ids += [doc_id] * len(nos)
-                numbers += nos
-                lines += [split[n] for n in nos]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(lines, pa.string())], names=["doc_id", "line_no", "line"])
+            numbers, lines = [], []
+            for text, places in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
+                split = text.lower().split("\n")
+                numbers += [p["c"] for p in places]
+                lines += [split[p["line_no"]] for p in places]
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(lines, pa.string())], names=["c", "line"])
+
+    found = docs.join(by_doc, ["doc_id", "mark"]).select("text", "wanted").mapInArrow(cut, "c long, line string")
+    return found.dropDuplicates(["c"])  # rows may be repeated whole
+
 
-    lines = docs.join(by_doc, "doc_id").mapInArrow(cut, "doc_id long, line_no int, line string")
+def confirmed(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
+    """The numbers c of the candidate pairs (c, o) that are alike enough as word sets."""
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -315,69 +310,66 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
                     a, b = set(x.split()), set(y.split())
                     both = len(a & b)
                     keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select(["doc_id", "line_no"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["c"]).filter(pa.array(keep, pa.bool_()))
 
-    other = lines.withColumnsRenamed({"doc_id": "other_id", "line_no": "other_no", "line": "other"})
-    return (
-        pairs.select("doc_id", "line_no", "other_id", "other_no")
-        .join(lines, ["doc_id", "line_no"])
-        .join(other, ["other_id", "other_no"])
-        .select("doc_id", "line_no", "line", "other")
-        .mapInArrow(alike, "doc_id long, line_no int")
-        .distinct()
-    )
+    other = lines.withColumnsRenamed({"c": "o", "line": "other"})
+    met = pairs.select("c", "o").join(lines, "c").join(other, "o").select("c", "line", "other")
+    return met.mapInArrow(alike, "c long").distinct()
 
 
-def repeated_lines(docs: DataFrame, percent: int = PERCENT, block_lines: int = BLOCK_LINES) -> DataFrame:
-    """(doc_id, line_no) of every line that has an earlier match; doc_id must be set and unique.
+def repeated_classes(docs: DataFrame, classes: DataFrame, codes: np.ndarray, percent: int, block_lines: int) -> DataFrame:
+    """(c) of the line classes that have an earlier class alike enough.
 
-    A line is its set of lower-cased words; two match if their Jaccard
-    similarity is at least ``percent``; earlier is by (doc_id, line_no).
-    Equal sets are found by a group minimum, the others by the join.
+    A class is settled by its first confirmed candidate: the one it shares most prefix tokens with is
+    tried first, then the others, and for those that are still open although they left a group early, all the rest of
+    their groups.
     """
-    docs = docs.select("doc_id", "text")
-    lines = staged(line_keys(docs), "line-keys")
-    own = lines.where("chunk is null")
-    group = own.groupBy("key_1", "key_2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("n"))
-    equal = (
-        own.join(group.where("n > 1"), ["key_1", "key_2"])
-        .where(F.struct("doc_id", "line_no") > F.col("first"))
-        .select("doc_id", "line_no")
-    )
-    posted = postings(docs, rarity_codes(lines), percent, block_lines)
-    found = staged(
-        first_matches(posted.repartition("token").sortWithinPartitions("token", "doc_id", "line_no"), percent),
-        "line-matches",
-    )
-    pairs = found.where("token is null").groupBy("doc_id", "line_no", "other_id", "other_no").agg(F.max("more").alias("more"))
-    near = staged(confirmed(pairs, docs, percent), "line-near")
-
-    # Lines whose first candidates failed although there were more: all the rest of their groups.
-    open_lines = found.where("more").select("doc_id", "line_no").distinct().join(near, ["doc_id", "line_no"], "left_anti")
-    late = found.where("token is not null").selectExpr(*(f"p_{c} AS {c}" if c in ("doc_id", "line_no") else c for c in [x.split(" ")[0] for x in POSTING.split(", ")]))
-    late = late.withColumns(
-        {"size": F.shiftright("shape", 33), "rest": F.shiftright("shape", 2).bitwiseAND(LOW_31), "role": F.col("shape").bitwiseAND(3)}
-    )
-    x = late.where("role % 2 = 1").join(open_lines, ["doc_id", "line_no"]).alias("x")
-    y = late.where("role >= 2").alias("y")
-    rest = x.join(y, (F.col("x.token") == F.col("y.token")) & passes(percent)).select(
-        "x.doc_id", "x.line_no", F.col("y.doc_id").alias("other_id"), F.col("y.line_no").alias("other_no")
-    )
-    more = confirmed(staged(rest.distinct(), "line-rest"), docs, percent)
-    return equal.union(near).union(more).distinct()
-
-
-def passes(percent: int) -> Column:
-    """The filters of ``first_matches`` for rows x (later) and y (earlier)."""
+    posted = postings(docs, classes, codes, percent, block_lines)
+    token = F.shiftright("token", 32)
+    met = first_matches(posted.repartition(token).sortWithinPartitions(token, "line"), percent)
+    pairs = staged(met.groupBy("c", "o").agg(F.count(F.lit(1)).alias("votes"), F.max("more").alias("more")), "line-pairs")
+    wanted = pairs.select("c").union(pairs.select(F.col("o").alias("c"))).distinct()
+    lines = staged(line_texts(wanted, classes, docs), "line-texts")
+    best = pairs.groupBy("c").agg(F.max_by("o", F.struct("votes", -F.col("o"))).alias("o"))
+    settled = staged(confirmed(best, lines, percent), "line-near")
+    left = pairs.join(settled, "c", "left_anti").join(best, ["c", "o"], "left_anti")
+    settled = settled.union(staged(confirmed(left, lines, percent), "line-near"))
+
+    open_classes = staged(pairs.where("more").select("c").distinct().join(settled, "c", "left_anti"), "line-open")
+    if open_classes.isEmpty():
+        return settled
+    parts = {"c": F.shiftright("line", 24), "size": F.col("line").bitwiseAND(MOST_SIZE), "group": token, "rest": F.shiftright(F.col("token").bitwiseAND(0xFFFFFFFF), 2), "role": F.col("token").bitwiseAND(3)}
+    every = posted.withColumns(parts).drop("token", "line").distinct()
+    later = staged(every.where("role % 2 = 1").join(open_classes, "c"), "line-later")
+    earlier = every.where("role >= 2").join(later.select("group").distinct(), "group", "left_semi")
+    x, y = later.alias("x"), earlier.alias("y")
     both = F.col("x.size") + F.col("y.size")
     need = F.ceil(both * percent / (100 + percent) - 1e-9)
-    return (
-        (F.struct("y.doc_id", "y.line_no") < F.struct("x.doc_id", "x.line_no"))
-        & (F.col("x.key") != F.col("y.key"))
-        & (F.least("x.size", "y.size") >= need)
+    fits = (
+        (F.least("x.size", "y.size") >= need)
         & (F.least("x.rest", "y.rest") >= need)
         & (F.bit_count(F.col("x.parity").bitwiseXOR(F.col("y.parity"))) <= both - 2 * need)
-    )
+    ) | (F.greatest("x.size", "y.size") >= MOST_SIZE)
+    rest = x.join(y, (F.col("x.group") == F.col("y.group")) & (F.col("y.c") < F.col("x.c")) & fits).select("x.c", F.col("y.c").alias("o"))
+    rest = staged(rest.distinct().join(pairs, ["c", "o"], "left_anti"), "line-rest")
+    wanted = rest.select("c").union(rest.select(F.col("o").alias("c"))).distinct()
+    return settled.union(confirmed(rest, staged(line_texts(wanted, classes, docs), "line-texts"), percent))
+
+
+def kept_lines(docs: DataFrame, percent: int = PERCENT, block_lines: int = BLOCK_LINES) -> DataFrame:
+    """(doc_id, mark, line_no) of every line with words that has no earlier match; ``docs`` has doc_id, mark and text.
+
+    A line is its set of lower-cased words; two match if their Jaccard
+    similarity is at least ``percent``; earlier is by (doc_id, mark, line_no).  Lines of equal sets are a class, which
+    stands where its first line does; classes are numbered in that order.  Of a class only the first line can
+    stay, so no class is ever gathered, and the join is between classes.
+    """
+    lines = staged(line_keys(docs), "line-keys")
+    first = F.min(F.struct("doc_id", "mark", "line_no")).alias("first")
+    groups = lines.where("chunk is null").groupBy("key_1", "key_2").agg(first).withColumn("all", F.lit(0))
+    classes = ranked(groups, "all", [F.col("first")], "line-classes").select("key_1", "key_2", "first", F.col("pos").alias("c"))
+    gone = repeated_classes(docs, classes, rarity_codes(lines), percent, block_lines)
+    return classes.join(gone, "c", "left_anti").select("first.*")
 
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT, block_lines: int = BLOCK_LINES) -> DataFrame:
@@ -385,22 +377,29 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, block_lines: int = BLOC
 
     Blank lines never match and stay.  Defined cases: a null text stays null
     with no lines; an empty text has one blank line; rows with a null doc_id are
-    returned as they are and take no part; of repeated doc_ids only the rows' positions
-    count, so equal rows lose the same lines; columns named n_lines or n_removed are replaced.
+    returned as they are and take no part; texts of one doc_id are told apart and ordered by a hash of
+    them (mark); rows of one doc_id and text count as one document and keep the same lines; columns named
+    n_lines or n_removed are replaced.
     """
-    known = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    gone = repeated_lines(known, percent, block_lines).groupBy("doc_id").agg(F.collect_set("line_no").alias("__gone"))
-    rest = docs.drop("n_lines", "n_removed", "__gone")
+    rest = docs.drop("n_lines", "n_removed")
+    key = F.col("doc_id").cast("long")
+    known = docs.where("doc_id is not null and text is not null").select(key.alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    kept = kept_lines(known, percent, block_lines).groupBy("doc_id", "mark").agg(F.collect_list("line_no").alias("__kept"))
+    kept = kept.withColumnsRenamed({"doc_id": "__doc_id", "mark": "__mark"})
+    out = rest.join(kept, (key == F.col("__doc_id")) & (F.xxhash64("text") == F.col("__mark")), "left")
+    takes_part = F.col("doc_id").isNotNull() & F.col("text").isNotNull()
     lines = F.split("text", "\n", -1)
-    out = rest.withColumn("doc_id", F.col("doc_id").cast("long")).join(gone, "doc_id", "left").withColumn(
-        "__gone", F.coalesce("__gone", F.array().cast("array<int>"))
-    )
-    kept = F.filter(F.col("__lines"), lambda line, i: ~F.array_contains(F.col("__gone"), i))
+
+    def stays(line, i):
+        return ~F.rlike(line, F.lit(WORD)) | F.array_contains(F.coalesce("__kept", F.array().cast("array<int>")), i)
+
+    left = F.filter("__lines", stays)
     return (
         out.withColumn("__lines", lines)
-        .withColumn("text", F.when(F.size("__gone") == 0, F.col("text")).otherwise(F.array_join(kept, "\n")))
+        .withColumn("__left", F.when(takes_part, left).otherwise(F.col("__lines")))
         .withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines")))
-        .withColumn("n_removed", F.size("__gone"))
+        .withColumn("n_removed", F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines") - F.size("__left")))
+        .withColumn("text", F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.array_join("__left", "\n")))
         .select(*rest.columns, "n_lines", "n_removed")
     )
 

@@ -123,24 +123,6 @@ def test_components(spark):
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)}
 
 
-def kept_lines(rows: list[tuple], percent: int) -> dict[int, str | None]:
-    earlier: list[set] = []
-    out = {}
-    for i, text, *_ in sorted(rows):
-        lines = None if text is None else text.split("\n")
-        keep = []
-        for line in lines or []:
-            words = set(line.lower().split())
-            if words and any(100 * len(words & e) >= percent * len(words | e) for e in earlier):
-                continue
-            keep.append(line)
-            if words:
-                earlier.append(words)
-        # A removed line still counts as earlier.
-        out[i] = None if lines is None else "\n".join(keep)
-    return out
-
-
 def all_earlier(rows: list[tuple], percent: int) -> dict[int, str | None]:
     seen: list[set] = []
     out = {}
@@ -178,6 +160,35 @@ def test_line_dedup_defers_large_groups(spark):
     assert got == all_earlier(rows, 80) and "" in got.values()
 
 
+@pytest.mark.parametrize("order", [1, -1])
+def test_line_dedup_does_not_depend_on_the_order_of_rows(spark, order):
+    # A near line stands between two copies, which come in either order and in one batch.
+    words = [f"v{i}" for i in range(20)]
+    copy, near = " ".join(words), " ".join([*words[:18], "y1", "y2"])
+    rows = [(10, copy), (3, copy), (5, near), (7, " ".join([*words[:18], "z1", "z2"]))][::order]
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert got == {3: copy, 5: "", 7: "", 10: ""} == all_earlier(rows, 80)
+
+
+def test_line_dedup_tells_texts_of_one_id_apart(spark):
+    rows = [(1, "a b c"), (2, "x y z"), (2, "a b c"), (2, "a b c"), (3, "q r s\nx y z"), (3, "q r s\nx y z"), (4, "q r s")]
+    got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == [(1, "a b c"), (2, ""), (2, ""), (2, "x y z"), (3, "q r s"), (3, "q r s"), (4, "")]
+
+
+def test_line_dedup_settles_lines_that_left_a_group_early(spark):
+    # The last line passes the filters with many that fail, and matches one far from it in its groups.
+    rng = random.Random(9)
+    base = [f"k{i}" for i in range(30)]
+    rows = [(0, " ".join([*base[:26], "m1", "m2", "m3", "m4"]))]
+    for i in range(1, 90):
+        rows.append((i, " ".join([*(w for w in base if w not in rng.sample(base, 7)), *(f"n{i}_{j}" for j in range(6))])))
+    rows.append((99, " ".join([*base[:26], "m1", "m2", "o3", "o4"])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(frame).collect()}
+    assert got == all_earlier(rows, 80) and got[99] == ""
+
+
 def test_line_dedup_odd_rows(spark, none):
     rows = [(None, "a b", 1), (1, "a b\n\nc", 1), (2, None, 1), (3, "B A\n", 1)]
     got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, n_lines int")).collect()
