@@ -406,3 +406,33 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, block_lines: int = BLOC
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+# As the operator, for tables whose doc_id is set and unique: rarest tokens first, prefix and size filters, then the sets.
+OP4_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, i - 1 AS line_no, string_split(text, chr(10))[i] AS line FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS u(i)
+), sets AS (
+  SELECT *, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(line), '\s+'), lambda w: w <> ''))) AS words FROM lines
+), classes AS (
+  SELECT words, len(words) AS n, min((doc_id, line_no)) AS first, row_number() OVER (ORDER BY min((doc_id, line_no))) AS c
+  FROM sets WHERE len(words) > 0 GROUP BY words
+), tokens AS (SELECT c, n, unnest(words) AS w FROM classes),
+rarity AS (SELECT w, count(*) AS f FROM tokens GROUP BY w),
+prefix AS (
+  SELECT c, n, w FROM tokens JOIN rarity USING (w)
+  QUALIFY row_number() OVER (PARTITION BY c ORDER BY f, w) <= n - (n * 80 + 99) // 100 + 1
+), pairs AS (
+  SELECT DISTINCT a.c, b.c AS o FROM prefix a JOIN prefix b ON a.w = b.w AND b.c < a.c AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+), gone AS (
+  SELECT DISTINCT p.c FROM pairs p JOIN classes a ON a.c = p.c JOIN classes b ON b.c = p.o
+  WHERE 180 * len(list_intersect(a.words, b.words)) >= 80 * (a.n + b.n)
+), kept AS (SELECT first FROM classes WHERE c NOT IN (SELECT c FROM gone)),
+marked AS (
+  SELECT s.*, len(s.words) = 0 OR k.first IS NOT NULL AS stays FROM sets s LEFT JOIN kept k ON k.first = (s.doc_id, s.line_no)
+)
+SELECT d.doc_id, coalesce(m.n, 0)::INTEGER AS n_lines, coalesce(m.gone, 0)::INTEGER AS n_removed, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(m.text, '') END AS text
+FROM documents d LEFT JOIN (
+  SELECT doc_id, count(*) AS n, count_if(NOT stays) AS gone, string_agg(line, chr(10) ORDER BY line_no) FILTER (stays) AS text FROM marked GROUP BY doc_id
+) m USING (doc_id)
+"""

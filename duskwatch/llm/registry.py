@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from duskwatch.llm.chat import op9_chat_formatting
 from duskwatch.llm.fingerprint import op8_document_fingerprints
 from duskwatch.llm.licences import OP1_SQL, op1_license_scan
-from duskwatch.llm.linededup import op4_line_dedup
+from duskwatch.llm.linededup import OP4_SQL, op4_line_dedup
 from duskwatch.llm.merkle import OP12_SQL, op12_merkle_manifest
 from duskwatch.llm.minhash import op7_minhash_near_dedup
 from duskwatch.llm.mixing import OP3_SQL, op3_poisson_mixing
@@ -43,6 +43,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 LLM_ORACLES: dict[str, str] = {
     "op1_license_scan": OP1_SQL,
     "op3_poisson_mixing": OP3_SQL,
+    "op4_line_dedup": OP4_SQL,
     "op11_conversation_repair": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,
 }

@@ -24,6 +24,9 @@ CACHE_WORDS = 400_000
 # Texts made of other characters than these go to the tokenizer whole: for these, the classes of its
 # patterns and lower-casing are the same in every version of Unicode.
 OTHER = re.compile("[^\t\n\r\x20-\x7e¡-įı-ɏ‐-‧]")
+# And for a tokenizer that lowers, those whose lower case is another such character.
+LEAVING = "".join(c for c in map(chr, range(0x2028)) if not OTHER.search(c) and OTHER.search(c.lower()))
+OTHER_LOWERED = re.compile(f"{OTHER.pattern}|[{LEAVING}]")
 LETTER, NUMBER = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 # Pre-tokens of the two vocabularies, restricted to the characters above.
 BYTE_PRE_TOKEN = f"'(?:s|t|re|ve|m|ll|d)| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^\\s{LETTER}{NUMBER}]+|\\s+(?!\\S)|\\s+"
@@ -78,8 +81,9 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         plain, split = [], []
+        other = OTHER_LOWERED if self.lower else OTHER
         for text in texts:
-            whole = self.pattern is None or OTHER.search(text) or any(c in text for c in self.control)
+            whole = self.pattern is None or other.search(text) or any(c in text for c in self.control)
             plain.append(bool(whole))
             split.append([] if whole else self.pattern.findall(text.lower() if self.lower else text))
         self._learn(list(set().union(*split).difference(self.words)))

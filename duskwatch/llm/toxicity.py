@@ -171,7 +171,7 @@ def scored(docs: DataFrame, model: tuple, threshold: float = THRESHOLD) -> DataF
                     at = at[np.append(keys, np.uint32(0))[at] == found] if len(keys) else at[:0]
                     at = at[at < len(keys)]
                     out[row] = weights[at].astype(np.float64).sum() + bias
-            out = 1 / (1 + np.exp(-np.clip(out, -700, 700)))
+            out = np.where(np.isneginf(out), 0, 1 / (1 + np.exp(-np.clip(out, -700, 700))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(out), pa.array((out >= threshold).astype(np.int32))],
                 names=["doc_id", "score", "predicted"],

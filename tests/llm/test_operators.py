@@ -44,6 +44,12 @@ def corpus(seed: int = 5) -> list[tuple]:
                 for _ in range(max(1, len(near) // 15)):
                     near[rng.randrange(len(near))] = rng.choice(WORDS)
                 texts.append(" ".join(near))
+        if len(base.split()) > 60:  # one word of them changed: like in five-word shingles too
+            words = base.split(" ")
+            for _ in range(2):
+                near = list(words)
+                near[rng.randrange(len(near))] = rng.choice(WORDS)
+                texts.append(" ".join(near))
     texts.append(sentence(rng, 6000))
     rng.shuffle(texts)
     return [(3 * i, t, "en", [None, "s1", "s2", "s2"][i % 4], 7) for i, t in enumerate(texts)]
@@ -207,6 +213,15 @@ def test_encoder_equals_the_tokenizer(rows, name):
         assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoder_knows_every_character_beside_a_letter(name):
+    path = public_tokenizers.path(name)
+    plain, own = Tokenizer.from_file(path), tokens.Encoder(tokens.tokenizer_source(path))
+    allowed = [c for c in map(chr, range(0x2100)) if not tokens.OTHER.search(c)]
+    texts = [f"{a}{c}{b}" for c in allowed for a, b in (("", "a"), ("z", ""), ("A", "B"), (" ", " "), ("1", "'s"))]
+    assert len(tokens.LEAVING) > 10 and [np.frombuffer(b, "<u4").tolist() for b in own.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("encoding", ["dictionary", "delta"])
 def test_token_files(spark, docs, rows, scratch, encoding):
     path, name = f"{scratch}/tokens", public_tokenizers.path("word_bpe_49k.json")
@@ -281,20 +296,20 @@ def test_packing_odd_rows(spark, none):
 def test_toxicity(spark, none):
     rng = random.Random(1)
     rows, labels = [], []
-    for i in range(600):
+    for i in range(1500):
         bad = i % 5 == 0
         words = sentence(rng, rng.randint(5, 80)).split()
         if bad:
             words.insert(rng.randrange(len(words)), rng.choice(["vile!", "Nasty", "rotten."]))
         rows.append((i, " ".join(words), "en", "s", 1))
         labels.append((i, 1, int(bad), "x"))
-    rows += [(1000, None, "en", "s", 1), (1001, "", "en", "s", 1), (None, "vile", "en", "s", 1), (1000, "fine", "en", "s", 1)]
+    rows += [(2000, None, "en", "s", 1), (2001, "", "en", "s", 1), (None, "vile", "en", "s", 1), (2000, "fine", "en", "s", 1)]
     labels += [(None, 1, 1, "x"), (3, 1, None, "x")]
     docs = spark.createDataFrame(rows, DOCS)
     marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int, text string")
     got = toxicity.toxicity(docs, marks).collect()
     assert len(got) == len(rows)
-    known = [r for r in got if r["doc_id"] is not None and r["doc_id"] < 600]
+    known = [r for r in got if r["doc_id"] is not None and r["doc_id"] < 1500]
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in known)
     held = [r for r in known if r["held_out"]]
     right = sum(r["predicted"] == (r["doc_id"] % 5 == 0) for r in held)
@@ -302,7 +317,7 @@ def test_toxicity(spark, none):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got)
     # Labels of held-out rows teach nothing.
     flipped = marks.withColumn("toxic", F.when(toxicity.is_held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
-    again = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, flipped).collect() if r["doc_id"] is not None and r["doc_id"] < 600}
+    again = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, flipped).collect() if r["doc_id"] is not None and r["doc_id"] < 1500}
     assert again == {r["doc_id"]: r["score"] for r in known}
     assert toxicity.toxicity(none, marks).count() == 0
     assert {r["score"] for r in toxicity.toxicity(docs, marks.limit(0)).collect()} == {0.0}
