@@ -1,11 +1,14 @@
 """Batch plans against a sequential restatement, on random logs with ties and hot keys."""
 
+import re
+
 import naive
 import pytest
-from samples import S, frame, random_events
+from samples import BASE, S, frame, process, random_events
 
-from duskwatch.operators import chains
+from duskwatch.operators import chains, cooldown
 from duskwatch.operators import thresholds as th
+from duskwatch.operators.cooldown import COOLDOWNS_PER_CHUNK, pick_with_cooldown
 
 
 def rows(df, *cols):
@@ -50,3 +53,35 @@ def test_one_host_one_second(spark):
     assert rows(th.rapid_process_hits(df), "us", "seq", "host", "process_count") == naive.rapid(events)
     got = rows(chains.download_execute_hits(df), "us", "seq", "host", "path")
     assert got == sorted(h[:4] for h in naive.download_execute(events))
+
+
+@pytest.mark.parametrize("gap_s,cooldown", [(2, 7), (7, 7), (5, 11)])
+def test_cooldown_of_evenly_spaced_candidates(spark, gap_s, cooldown):
+    """Selections that start apart never coincide, over hundreds of chunks of one host."""
+    events = [process(i, i * gap_s, "ls", "ls", host="h0" if i % 5 else "h1") for i in range(6000)]
+    params = th.RapidParams(threshold=1, window_us=S, cooldown_us=cooldown * S)
+    hits = th.rapid_process_hits(frame(spark, events), params)
+    got = rows(hits, "us", "seq", "host", "process_count")
+    assert got == sorted(naive.rapid(events, 1, S, cooldown * S)) and len(got) > 1000
+    assert len({us // (cooldown * S * COOLDOWNS_PER_CHUNK) for us, *_ in got}) > 100
+
+
+def test_cooldown_goes_on_from_before(spark):
+    """What is taken later, given when the key is free, equals one run over all."""
+    events = [process(i, i * 3, "ls", "ls", host=f"h{i % 2}") for i in range(900)]
+    candidates = frame(spark, events).selectExpr("host", "unix_micros(ts) AS us")
+    whole = rows(pick_with_cooldown(candidates, "host", "us", 50 * S), "host", "us")
+    cut = BASE + 1300 * S
+    free = spark.createDataFrame([(h, max(us for k, us in whole if k == h and us < cut) + 50 * S) for h in ("h0", "h1")], "host string, free_us long")
+    later = pick_with_cooldown(candidates.where(f"us >= {cut}"), "host", "us", 50 * S, free)
+    assert rows(later, "host", "us") == [x for x in whole if x[1] >= cut]
+    assert rows(pick_with_cooldown(candidates.limit(0), "host", "us", S), "host", "us") == []
+
+
+def test_no_step_of_the_cooldown_is_dealt_by_the_key_alone(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(cooldown, "checkpointed", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), df.checkpoint())[1])
+    candidates = spark.range(5000).selectExpr("'h' AS host", "id * 60000000 AS us")
+    plans.append(pick_with_cooldown(candidates, "host", "us", 300 * S)._jdf.queryExecution().executedPlan().toString())
+    dealt = re.findall(r"hashpartitioning\(([^)]*)\)", "\n".join(plans))
+    assert len(plans) > 3 and dealt and all(len(re.findall(r"#\d+", keys)) >= 2 for keys in dealt)
