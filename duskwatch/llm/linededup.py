@@ -20,8 +20,11 @@ COUNT_BUCKETS, COUNT_CHUNK = 1 << 20, 1 << 12
 TASKS_PER_SUM = 256
 # A token's lines are compared in blocks of at most about this many.
 BLOCK_LINES = 50_000
-# Matches reported for a line and token before the rest of the group is deferred.
-FIRST_MATCHES = 4
+# A line leaves a token's group with candidates of this weight; one whose parity is well within the bound is
+# a match almost surely and weighs half of it, others weigh one.
+ENOUGH, WELL_WITHIN = 24, 0.6
+# Groups that lines left with nothing confirmed are read again; so many of them are broadcast, more are joined.
+MOST_BROADCAST = 1_000_000
 TOKEN_BITS = 44
 LOW_TOKEN, LOW_36 = np.uint64((1 << 44) - 1), np.uint64((1 << 36) - 1)
 # What str.split() leaves as words: white space there is Unicode's, and the four separators.
@@ -133,7 +136,7 @@ def rarity_codes(lines: DataFrame) -> np.ndarray:
 ALONE = 6
 
 
-def prefixes(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int) -> DataFrame:
+def prefixes(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int, only: np.ndarray | None = None) -> DataFrame:
     """(key_1, key_2, size, parity, tokens): of each line the prefix tokens, rarest first, and what the filters need.
 
     Sets with at least ``percent`` similarity share a token among the first
@@ -142,12 +145,13 @@ def prefixes(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int)
     each block once as the later (role 1) and once as the earlier one (role 2).
     Of equal lines in one batch part, one stands for all.  Tokens whose
     bucket counts one line have no partner and are left out.  ``tokens`` packs 32
-    bits of each token, the number of tokens from it on and the role.
+    bits of each token, the number of tokens from it on and the role.  With ``only``, a sorted array of such
+    32 bits, other tokens are left out.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(codes)
+    shared = docs.sparkSession.sparkContext.broadcast((codes, only))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code_of = shared.value
+        code_of, wanted = shared.value
         blocks_of = np.maximum(1, np.ceil((np.exp2(np.arange(256) / 6) - 1) / block_lines)).astype(np.int64)
         for batch in batches:
             with no_gc():
@@ -172,9 +176,12 @@ def prefixes(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int)
                         of, place, tokens, role = in_blocks(of, place, tokens, blocks, one.view(np.uint64))
                         order = np.argsort(of, kind="stable")
                         of, place, tokens, role = of[order], place[order], tokens[order], role[order]
+                    high = (mixed(tokens) >> np.uint64(32) << np.uint64(32)).view(np.int64)
+                    if wanted is not None:
+                        met = np.isin(high >> 32, wanted)
+                        of, place, role, high = of[met], place[met], role[met], high[met]
                     lines, begin = np.unique(of, return_index=True)
-                    rest = np.minimum(sizes[of] - place, MOST_SIZE)
-                    packed = ((mixed(tokens) >> np.uint64(32)) << np.uint64(32)).view(np.int64) | (rest << 2) | role
+                    packed = high | (np.minimum(sizes[of] - place, MOST_SIZE) << 2) | role
                     ends = np.append(begin, len(of)).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -190,9 +197,9 @@ def prefixes(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int)
     return docs.select("text").mapInArrow(read, "key_1 long, key_2 long, size long, parity long, tokens array<long>")
 
 
-def postings(docs: DataFrame, classes: DataFrame, codes: np.ndarray, percent: int, block_lines: int) -> DataFrame:
+def postings(docs: DataFrame, classes: DataFrame, codes: np.ndarray, percent: int, block_lines: int, only: np.ndarray | None = None) -> DataFrame:
     """(token, line, parity): a row for each line class and prefix token; ``line`` is the class's number and size."""
-    numbered = prefixes(docs, codes, percent, block_lines).join(classes.select("key_1", "key_2", "c"), ["key_1", "key_2"])
+    numbered = prefixes(docs, codes, percent, block_lines, only).join(classes.select("key_1", "key_2", "c"), ["key_1", "key_2"])
     line = F.shiftleft("c", 24) + F.col("size")
     return numbered.select(F.explode("tokens").alias("token"), line.alias("line"), "parity")
 
@@ -214,13 +221,13 @@ def in_blocks(of, place, ranked, blocks, key) -> tuple:
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def first_matches(sorted_postings: DataFrame, percent: int, most: int = FIRST_MATCHES) -> DataFrame:
-    """Candidates (c, o, more) among line classes that share a prefix token; o is the earlier one.
+def first_matches(sorted_postings: DataFrame, percent: int, enough: int = ENOUGH) -> DataFrame:
+    """Candidates (c, o, left) among line classes that share a prefix token; o is the earlier one.
 
     The input comes sorted by (token, line) within partitions.  All
     groups of a batch are compared at once, row against the row d before it,
-    for d = 1, 2, ...; a line leaves after ``most`` candidates, so a group of near copies
-    costs time in proportion to its size.  ``more`` tells that a line left with rows to go.
+    for d = 1, 2, ...; a line leaves with candidates of weight ``enough``, so a group of near copies
+    costs time in proportion to its size.  ``left`` is the group (the token's 32 bits) if a line left it with rows to go, else null.
 
     Filters: the bits in which the parity bitmaps differ, a lower bound of the symmetric difference, sizes, and tokens left from
     the shared one on.
@@ -245,21 +252,22 @@ def first_matches(sorted_postings: DataFrame, percent: int, most: int = FIRST_MA
             j = i - d
             both = size[i] + size[j]
             need = -(-both * percent // (100 + percent))  # common tokens at this similarity
+            differ, bound = np.bitwise_count(parity[i] ^ parity[j]), both - 2 * need
             ok = (role[j] & 2 > 0) & (number[i] != number[j])
-            fits = (np.minimum(rest[i], rest[j]) >= need) & (np.minimum(size[i], size[j]) >= need)
-            fits &= np.bitwise_count(parity[i] ^ parity[j]) <= both - 2 * need
+            fits = (np.minimum(rest[i], rest[j]) >= need) & (np.minimum(size[i], size[j]) >= need) & (differ <= bound)
             ok &= fits | (np.maximum(size[i], size[j]) >= MOST_SIZE)
+            sure = differ[ok] <= WELL_WITHIN * bound[ok]
             i, j = i[ok], j[ok]
             left.append(i)
             right.append(j)
-            found[i] += 1
+            found[i] += np.where(sure, enough // 2, 1)
             d += 1
             going = depth[active] >= d
-            full = found[active] >= most
+            full = found[active] >= enough
             more[active[full & going]] = True
             active = active[~full & going]
         i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-        return pa.RecordBatch.from_arrays([pa.array(number[i]), pa.array(number[j]), pa.array(more[i])], names=["c", "o", "more"])
+        return pa.RecordBatch.from_arrays([pa.array(number[i]), pa.array(number[j]), pa.array(group[i], mask=~more[i])], names=["c", "o", "left"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -278,7 +286,7 @@ def first_matches(sorted_postings: DataFrame, percent: int, most: int = FIRST_MA
         if held:
             yield compare(*(np.concatenate([h[k] for h in held]) for k in range(3)))
 
-    return sorted_postings.mapInArrow(read, "c long, o long, more boolean")
+    return sorted_postings.mapInArrow(read, "c long, o long, left long")
 
 
 def line_texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -326,23 +334,26 @@ def repeated_classes(docs: DataFrame, classes: DataFrame, codes: np.ndarray, per
     """
     posted = postings(docs, classes, codes, percent, block_lines)
     token = F.shiftright("token", 32)
-    met = first_matches(posted.repartition(token).sortWithinPartitions(token, "line"), percent)
-    pairs = staged(met.groupBy("c", "o").agg(F.count(F.lit(1)).alias("votes"), F.max("more").alias("more")), "line-pairs")
+    met = staged(first_matches(posted.repartition(token).sortWithinPartitions(token, "line"), percent), "line-matches")
+    pairs = staged(met.groupBy("c", "o").agg(F.count(F.lit(1)).alias("votes")), "line-pairs")
     wanted = pairs.select("c").union(pairs.select(F.col("o").alias("c"))).distinct()
     lines = staged(line_texts(wanted, classes, docs), "line-texts")
     best = pairs.groupBy("c").agg(F.max_by("o", F.struct("votes", -F.col("o"))).alias("o"))
     settled = staged(confirmed(best, lines, percent), "line-near")
-    left = pairs.join(settled, "c", "left_anti").join(best, ["c", "o"], "left_anti")
-    settled = settled.union(staged(confirmed(left, lines, percent), "line-near"))
+    others = pairs.join(settled, "c", "left_anti").join(best, ["c", "o"], "left_anti")
+    settled = settled.union(staged(confirmed(others, lines, percent), "line-near"))
 
-    open_classes = staged(pairs.where("more").select("c").distinct().join(settled, "c", "left_anti"), "line-open")
-    if open_classes.isEmpty():
+    left = staged(met.where("left is not null").select("c", F.col("left").alias("group")).distinct().join(settled, "c", "left_anti"), "line-left")
+    groups = left.select("group").distinct()
+    n = groups.count()
+    if not n:
         return settled
+    only = np.array(sorted(r["group"] for r in groups.collect()), dtype=np.int64) if n <= MOST_BROADCAST else None
+    again = postings(docs, classes, codes, percent, block_lines, only)
     parts = {"c": F.shiftright("line", 24), "size": F.col("line").bitwiseAND(MOST_SIZE), "group": token, "rest": F.shiftright(F.col("token").bitwiseAND(0xFFFFFFFF), 2), "role": F.col("token").bitwiseAND(3)}
-    every = posted.withColumns(parts).drop("token", "line").distinct()
-    later = staged(every.where("role % 2 = 1").join(open_classes, "c"), "line-later")
-    earlier = every.where("role >= 2").join(later.select("group").distinct(), "group", "left_semi")
-    x, y = later.alias("x"), earlier.alias("y")
+    again = again.withColumns(parts).drop("token", "line")
+    every = staged((again if only is not None else again.join(groups, "group", "left_semi")).distinct(), "line-groups")
+    x, y = every.where("role % 2 = 1").join(left, ["c", "group"], "left_semi").alias("x"), every.where("role >= 2").alias("y")
     both = F.col("x.size") + F.col("y.size")
     need = F.ceil(both * percent / (100 + percent) - 1e-9)
     fits = (

@@ -182,7 +182,7 @@ def test_line_dedup_tells_texts_of_one_id_apart(spark):
     assert sorted((r["doc_id"], r["text"]) for r in got) == [(1, "a b c"), (2, ""), (2, ""), (2, "x y z"), (3, "q r s"), (3, "q r s"), (4, "")]
 
 
-def test_line_dedup_settles_lines_that_left_a_group_early(spark):
+def test_line_dedup_settles_lines_that_left_a_group_early(spark, monkeypatch):
     # The last line passes the filters with many that fail, and matches one far from it in its groups.
     rng = random.Random(9)
     base = [f"k{i}" for i in range(30)]
@@ -191,8 +191,10 @@ def test_line_dedup_settles_lines_that_left_a_group_early(spark):
         rows.append((i, " ".join([*(w for w in base if w not in rng.sample(base, 7)), *(f"n{i}_{j}" for j in range(6))])))
     rows.append((99, " ".join([*base[:26], "m1", "m2", "o3", "o4"])))
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(frame).collect()}
-    assert got == all_earlier(rows, 80) and got[99] == ""
+    for most in (linededup.MOST_BROADCAST, 0):
+        monkeypatch.setattr(linededup, "MOST_BROADCAST", most)
+        got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(frame).collect()}
+        assert got == all_earlier(rows, 80) and got[99] == ""
 
 
 def test_line_dedup_odd_rows(spark, none):
