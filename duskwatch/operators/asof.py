@@ -101,3 +101,25 @@ def consume_once(
         .agg(first.alias("m"))
         .select(*keys, *[F.col(f"m.{c}").alias(c) for c in ("us", "seq", *rest, "opener")])
     )
+
+
+def still_open(
+    openers: DataFrame, closers: DataFrame, keys: list[str], newest_us: int, window_us: int | None
+) -> DataFrame:
+    """Openers that closers yet to come may match, after ``consume_once``: the latest of each key, if no closer
+    follows it.  A closer that does follow has used it or came too late, as all later ones would.
+    """
+    payload = [c for c in openers.columns if c not in (*keys, "us", "seq")]
+    at = F.struct("us", "seq")
+    opened = openers.select(*keys, F.struct("us", "seq", *payload).alias("opener"))
+    used = closers.select(*keys, at.alias("closed"))
+    latest = opened.unionByName(used, allowMissingColumns=True).groupBy(*keys).agg(
+        F.max("opener").alias("opener"), F.max("closed").alias("closed")
+    )
+    left = latest.where(
+        F.col("opener").isNotNull()
+        & (F.col("closed").isNull() | (F.col("closed") < F.struct("opener.us", "opener.seq")))
+    )
+    if window_us is not None:
+        left = left.where(F.col("opener.us") >= newest_us - window_us)
+    return left.select(*keys, *[F.col(f"opener.{c}").alias(c) for c in ("us", "seq", *payload)])

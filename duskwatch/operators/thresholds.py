@@ -141,9 +141,13 @@ def new_country_hits(events: DataFrame) -> DataFrame:
     )
 
 
-def rapid_process_hits(events: DataFrame, params: RapidParams = RapidParams()) -> DataFrame:
+def rapid_process_hits(
+    events: DataFrame, params: RapidParams = RapidParams(), free: DataFrame | None = None
+) -> DataFrame:
     """``threshold`` process starts on a host within a window open at its old end, with a cooldown.
 
+    ``free`` (host, free_us) tells from when on hosts with earlier alerts may alert again.
+
     1. Starts are counted per (host, microsecond) with map-side reduction.
     2. Counts are kept in slots of one window length, as a running sum of
        arrivals and departures, so that the work does not grow with the number
@@ -187,7 +191,7 @@ def rapid_process_hits(events: DataFrame, params: RapidParams = RapidParams()) -
         )
     )
     # At most one row per host and cooldown.
-    picked = checkpointed(pick_with_cooldown(counted, "host", "us", params.cooldown_us))
+    picked = checkpointed(pick_with_cooldown(counted, "host", "us", params.cooldown_us, free))
     within = F.col("nth") > 1
     if picked.where(within).isEmpty():
         rows = picked.drop("nth")

@@ -37,13 +37,22 @@ def _laid_out(events: DataFrame) -> DataFrame:
     return events.withColumn("dt", _day(micros()))
 
 
-def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
-    """Write events by type and day.
+def _write(rows: DataFrame, path: str, mode: str, batch: int | None, *by: str) -> None:
+    """Rows by the columns ``by``; those of a micro-batch take the place of what an earlier attempt at it wrote."""
+    writer = rows.hint("rebalance", *by).write.mode(mode)
+    if batch is not None:
+        rows, by = rows.withColumn("batch", F.lit(batch).cast("long")), (*by, "batch")
+        writer = rows.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*by).parquet(path)
+
+
+def write_events(events: DataFrame, path: str, mode: str = "append", batch: int | None = None) -> None:
+    """Write events by type and day, and by micro-batch if one is named, which then can be written again.
 
     The rebalance hint merges small output files and splits partitions that
     are too large, so one busy day or type does not end up in one task.
     """
-    _laid_out(events).hint("rebalance", "event_type", "dt").write.mode(mode).partitionBy("event_type", "dt").parquet(path)
+    _write(_laid_out(events), path, mode, batch, "event_type", "dt")
 
 
 def stream_events(events: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
@@ -97,9 +106,19 @@ def read_event_documents(spark: SparkSession, path: str, host: str = "my-server"
     )
 
 
-def write_alerts(alerts: DataFrame, path: str, mode: str = "append") -> None:
-    """Alert records with id and log level, by day."""
-    as_log_records(alerts).withColumn("dt", _day(micros())).hint("rebalance", "dt").write.mode(mode).partitionBy("dt").parquet(path)
+def write_alerts(alerts: DataFrame, path: str, mode: str = "append", batch: int | None = None) -> None:
+    """Alert records with id and log level, by day, and by micro-batch if one is named."""
+    _write(as_log_records(alerts).withColumn("dt", _day(micros())), path, mode, batch, "dt")
+
+
+def write_quarantine(lines: DataFrame, path: str, mode: str = "append", batch: int | None = None) -> None:
+    """Lines that gave no event (seq, host, line, disposition), by disposition."""
+    _write(lines.select("seq", "host", "line", "disposition"), path, mode, batch, "disposition")
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    schema = "seq long, host string, line string, disposition string"
+    return spark.read.schema(schema).parquet(path).select("seq", "host", "line", "disposition")
 
 
 def stream_alerts(alerts: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:

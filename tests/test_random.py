@@ -85,3 +85,26 @@ def test_no_step_of_the_cooldown_is_dealt_by_the_key_alone(spark, monkeypatch):
     plans.append(pick_with_cooldown(candidates, "host", "us", 300 * S)._jdf.queryExecution().executedPlan().toString())
     dealt = re.findall(r"hashpartitioning\(([^)]*)\)", "\n".join(plans))
     assert len(plans) > 3 and dealt and all(len(re.findall(r"#\d+", keys)) >= 2 for keys in dealt)
+
+
+def disputes(hosts: int = 1, spans: int = 240) -> list[dict]:
+    """A host with contested commands in every window, over paths that are named in pairs, and some downloads that reach into the next."""
+    out = []
+    for i in range(spans):
+        t, a, b = i * 100, f"/tmp/a{i % 7}", f"/tmp/b{i % 5}"
+        for k, (dt, name, command) in enumerate([
+            (0, "wget", f"wget -O {a} http://x"), (1, "wget", f"wget -O {b} http://x"), (20, "bash", f"sh {a} {b}"), (21, "bash", f"cat {b} {a}"),
+            (22, "bash", f"sh {a}"), (60 if i % 9 else 99, "curl", f"curl -o /dev/shm/z{i % 3} http://x"), (61 if i % 9 else 119, "bash", f"sh /dev/shm/z{i % 3} {b}"), (62, "bash", f"sh {b}"),
+        ]):
+            out.append(process(10 * i + k, t + dt, name, command, host=f"h{i % hosts}"))
+    return out
+
+
+@pytest.mark.parametrize("hosts", [1, 2])
+def test_contested_downloads_in_every_window(spark, monkeypatch, hosts):
+    events = disputes(hosts)
+    groups, islands = [], chains._islands
+    monkeypatch.setattr(chains, "_islands", lambda items, w: (groups.append(islands(items, w)), groups[0])[1])
+    got = rows(chains.download_execute_hits(frame(spark, events)), "us", "seq", "host", "path", "gap_us")
+    assert got == sorted(naive.download_execute(events)) and len(got) > 400
+    assert groups[0].select("host", "island").distinct().count() > 100  # many sessions, none as long as the host's day
