@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clock import SECOND
+from ..functions.clock import DAY, SECOND
 from ..functions.text import search_tokens
 from ..schema import FAILED_LOGIN, KEYWORD_KEYS, PROCESS, meta, micros
 from ..sources.checkpoint import checkpointed
@@ -39,13 +40,17 @@ def _whole_second_us(at: datetime | int) -> int:
 def in_time_range(events: DataFrame, start: datetime | int | None, end: datetime | int | None) -> DataFrame:
     """Inclusive range, applied only when both bounds are given and after the epoch.
 
-    The comparison is on ``ts`` itself, so it reaches the Parquet statistics.
+    The comparison is on ``ts`` itself, so it reaches the Parquet statistics, and on the day where
+    the events have one (``read_events(with_day=True)``), so it prunes partitions.
     """
     if start is None or end is None:
         return events
     lo, hi = _whole_second_us(start), _whole_second_us(end)
     if lo <= 0 or hi <= 0:
         return events
+    if "dt" in events.columns:
+        first, last = (F.date_from_unix_date(F.lit(us // DAY)) for us in (lo, hi))
+        events = events.where(F.col("dt").between(first, last))
     return events.where(
         F.col("ts").between(F.timestamp_micros(F.lit(lo)), F.timestamp_micros(F.lit(hi)))
     )
@@ -158,10 +163,30 @@ def process_ancestry_all(
 def process_ancestry(
     events: DataFrame, pid: str, max_depth: int = MAX_DEPTH, host: str | None = None
 ) -> DataFrame:
-    """The ancestor list of one pid, child first."""
+    """The ancestor list of one pid, child first.
+
+    A recursion whose frontier is one row: the newest events are found once, and each level looks one of them up.
+    """
     if host is not None:
         events = events.where(F.col("host") == host)
-    return process_ancestry_all(events, max_depth, pid=pid).drop("start_pid").orderBy("depth")
+    latest = checkpointed(latest_per_pid(events))
+    name = f"latest_{uuid.uuid4().hex}"
+    latest.createOrReplaceTempView(name)
+    spark = latest.sparkSession
+    try:
+        walk = spark.sql(
+            f"""WITH RECURSIVE walk (depth, pid, row) MAX RECURSION LEVEL {max(max_depth, 1)} AS (
+                  SELECT 0, pid, row FROM {name} WHERE pid = :pid
+                  UNION ALL
+                  SELECT w.depth + 1, p.pid, p.row FROM walk w JOIN {name} p ON p.pid = w.row.ppid
+                  WHERE w.depth + 1 < {int(max_depth)})
+                SELECT * FROM walk""",
+            {"pid": pid},
+        )
+    finally:
+        spark.catalog.dropTempView(name)
+    row = [F.col(f"row.{k}").alias(k) for k in ("us", "seq", *ROW_KEYS)]
+    return walk.select("depth", *row).orderBy("depth")
 
 
 def process_history(events: DataFrame) -> DataFrame:

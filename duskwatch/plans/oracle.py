@@ -365,3 +365,25 @@ for _name in (
 ):
     ORACLES[f"stream_{_name}"] = ORACLES[_name]
 ORACLES["stream_brute_force_evasion"] = ORACLES["brute_force_evasion_wide"]
+ORACLES["stream_all_alerts"] = ORACLES["all_alerts"]
+ORACLES["stream_counters"] = _with(
+    """SELECT 'events_total' AS counter, NULL::VARCHAR AS label, count(*) AS n FROM events
+       UNION ALL SELECT 'alerts_by_rule', rule_name, count(*) FROM alerts GROUP BY rule_name
+       UNION ALL SELECT 'alerts_by_severity', severity, count(*) FROM alerts GROUP BY severity""",
+    *_EVERY, _ALERTS, recursive=True,
+)
+_LOGGED = " UNION ALL ".join(f"SELECT rule_name, severity, us, seq, host, source, message FROM {t}" for t in ("pattern", "brute"))
+ORACLES["alert_log"] = _with(
+    f"""SELECT *, rule_name || '-' || us // 1000000 || '-' || source AS alert_id,
+               CASE WHEN severity IN ('HIGH', 'CRITICAL') THEN 'ERROR' ELSE 'WARN' END AS log_level FROM ({_LOGGED})""",
+    _PATTERN, _BRUTE,
+)
+ORACLES["log_quarantine"] = _with(f"""
+    SELECT seq, host, line, disposition FROM ({_ACCEPTED}), (VALUES
+      ('Jan 01 00:00:00 my-server cron[1]: session opened', 'ignored'),
+      ('Xyz 01 00:00:00 my-server sshd[1]: Failed password for root from 203.0.0.9 port 1 ssh2', 'error'),
+      ('2024-13-01T00:00:00Z 0 ls 1 1 0 ls', 'error')) AS v(line, disposition)""")
+ORACLES["event_documents_roundtrip"] = _with(
+    "SELECT us, event_type, source, usr, sshd_pid, process_name, pid, ppid, uid, return_code, command FROM ev"
+)
+ORACLES["stored_events"] = ORACLES["search_time_range"]

@@ -17,11 +17,13 @@ from ..functions.export import event_json
 from ..functions.net import ipv4_to_long, is_private_ip
 from ..operators import stateless
 from ..operators.enrich import enrich_geo, enrich_geo_stream
-from ..operators.parse import events_of, parse_lines
+from ..operators.parse import events_of, parse_lines, quarantine_of
 from ..schema import ACCEPTED_LOGIN, FAILED_LOGIN, PROCESS, micros
 from ..sources import fixtures as fx
+from ..sources import store
 from ..sources.checkpoint import shared_folder
 from ..streaming import detect as live
+from ..streaming.engine import RuleEngine
 from . import alerts as fmt
 from . import hunt
 from .engine import DETECTORS, DetectionContext, detect
@@ -337,9 +339,66 @@ def failed_login_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hunt.failed_login_times(fx.security_events(spark, sf_dir), HUNTED_IP).select("us", "seq")
 
 
+# --- sinks ----------------------------------------------------------------------------------
+
+
+@query
+def alert_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts written to the alert store and read back."""
+    path = shared_folder(spark, "alerts")
+    store.write_alerts(detect(context(spark, sf_dir), ["rules_stateless", "failed_logins"]), path)
+    return _flat(store.read_alerts(spark, path).withColumn("metadata", F.map_from_arrays(F.array(F.lit("alert_id"), F.lit("log_level")), F.array("alert_id", "log_level"))), "alert_id", "log_level")
+
+
+@query
+def log_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are no events, written to the quarantine and read back."""
+    path = shared_folder(spark, "quarantine")
+    store.write_quarantine(quarantine_of(_parsed(spark, sf_dir)), path)
+    return store.read_quarantine(spark, path)
+
+
+@query
+def event_documents_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as JSON documents and read back; documents carry neither host nor number."""
+    path = shared_folder(spark, "documents")
+    store.write_event_documents(fx.security_events(spark, sf_dir), path)
+    return store.read_event_documents(spark, path).select(
+        micros().alias("us"), "event_type", "source", F.col("user").alias("usr"), "sshd_pid", "process_name", "pid", "ppid", "uid", "return_code", "command"
+    )
+
+
+@query
+def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the store between two times, days and type pruned."""
+    path = shared_folder(spark, "events")
+    store.write_events(fx.security_events(spark, sf_dir), path)
+    return _found(hunt.search_events(store.read_events(spark, path, with_day=True), {}, RANGE_START, RANGE_END, limit=None))
+
+
 # --- streaming twins ------------------------------------------------------------------------
 
 
+def _engine_on_lines(spark: SparkSession, sf_dir: str) -> RuleEngine:
+    """The online engine run over all available log lines."""
+    engine = RuleEngine(
+        shared_folder(spark, "engine"), fx.watched, fx.geo_ranges(spark, sf_dir), link_col="host", assumed_year=fx.ASSUMED_YEAR
+    )
+    engine.start_on_lines(fx.log_lines(_stream(spark, sf_dir))).awaitTermination()
+    return engine
+
+
+@query
+def stream_all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log text to all rules to the alert store."""
+    return _flat(store.read_alerts(spark, _engine_on_lines(spark, sf_dir).alerts_path))
+
+
+@query
+def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _engine_on_lines(spark, sf_dir).counters(spark)
+
+
 def _drained(spark: SparkSession, df: DataFrame) -> DataFrame:
     """A stream run over all available input into a file sink, read back as a table."""
     folder = shared_folder(spark, "stream")

@@ -21,10 +21,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(named)
 
 
+# Folders of ``checkpointed`` tables, in order of their making.
+_made: list[str] = []
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read back from reliable storage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` computed once, as a Parquet table in the shared folder: it survives lost executors, is read by column,
+    and its size is known to the plans that join it.
+    """
+    path = shared_folder(df.sparkSession, "stage")
+    df.write.parquet(path)
+    _made.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stages_made() -> int:
+    return len(_made)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def remove_stages(spark: SparkSession, since: int) -> None:
+    """Remove the tables of ``checkpointed`` made since ``stages_made`` told so many; nothing may read them any more."""
+    for path in _made[since:]:
+        remove_folder(spark, path)
+    del _made[since:]
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:

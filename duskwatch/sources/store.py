@@ -2,7 +2,7 @@
 
 Layout: ``event_type=<type>/dt=<UTC day>/``.  Detectors and hunting queries
 filter ``event_type``, so Spark prunes the other types at planning time, whoever
-applies the filter; the bounds given to ``read_events`` prune days.  Within a file
+applies the filter; days are pruned by the bounds given to ``read_events`` or to a hunting query.  Within a file
 the flat metadata columns are pruned by the scan.
 """
 
@@ -67,8 +67,12 @@ def read_events(
     event_type: str | None = None,
     start: datetime | None = None,
     end: datetime | None = None,
+    with_day: bool = False,
 ) -> DataFrame:
-    """Stored events with the fixed schema; type and days prune partitions."""
+    """Stored events with the fixed schema; type and days prune partitions.
+
+    ``with_day`` adds the day ``dt``, by which the bounds that a hunting query is given later prune as well.
+    """
     stored = spark.read.schema(STORE_SCHEMA).parquet(path)
     if event_type is not None:
         stored = stored.where(F.lower("event_type") == event_type.lower())
@@ -80,7 +84,7 @@ def read_events(
             in_day = F.col("dt") >= F.lit(day) if op == "ge" else F.col("dt") <= F.lit(day)
             in_time = F.col("ts") >= F.timestamp_micros(F.lit(us)) if op == "ge" else F.col("ts") <= F.timestamp_micros(F.lit(us))
             stored = stored.where(in_day & in_time)
-    return stored.select(*[f.name for f in EVENT_SCHEMA.fields])
+    return stored.select(*[f.name for f in EVENT_SCHEMA.fields], *(["dt"] if with_day else []))
 
 
 def write_event_documents(events: DataFrame, path: str, mode: str = "append") -> None:

@@ -15,6 +15,7 @@ take back alerts, and openers that are out of their window are gone.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -31,6 +32,7 @@ from ..operators.parse import events_of, parse_lines, quarantine_of
 from ..plans import alerts as fmt
 from ..schema import EVENT_SCHEMA, FAILED_LOGIN, PROCESS, micros
 from ..sources import store
+from ..sources.checkpoint import remove_folder, remove_stages, stages_made
 from ..sources.logs import number_lines
 
 # Openers are (keys, us, seq, ...); ``alerted`` and ``countries`` hold a row for each key that has alerted.
@@ -48,6 +50,8 @@ STATES = {
     "logins": "link string, us long, seq long",
 }
 COUNTERS = "counter string, label string, n long"
+# Independent small jobs of a micro-batch that run side by side.
+AT_ONCE = 8
 
 
 @dataclass
@@ -110,7 +114,7 @@ class RuleEngine:
 
     def on_events(self, events: DataFrame, batch: int) -> None:
         """Evaluate one micro-batch; may be called again for the last batch, with the same events."""
-        spark = events.sparkSession
+        spark, stages = events.sparkSession, stages_made()
         if self.geo_ranges is not None:
             events = enrich_geo(events, self.geo_ranges)
         events = events.select(*[f.name for f in EVENT_SCHEMA.fields])
@@ -124,29 +128,33 @@ class RuleEngine:
         counted += [alerts.select(F.lit(f"alerts_by_{c}").alias("counter"), F.col(of).alias("label")) for c, of in (("rule", "rule_name"), ("severity", "severity"))]
         totals = reduce(DataFrame.union, counted).groupBy("counter", "label").agg(F.count(F.lit(1)).alias("n"))
         totals.coalesce(1).write.mode("overwrite").parquet(f"{self.counters_path}/batch={batch}")
-        for name, rows in after.items():
-            rows.write.mode("overwrite").parquet(f"{self.folder}/state/{name}/{batch}")
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            list(pool.map(lambda s: s[1].write.mode("overwrite").parquet(f"{self.folder}/state/{s[0]}/{batch}"), after.items()))
         # The batch may be tried again until its checkpoint is written, so the version it read stays.
-        self._remove(spark, f"inbox/{batch}", *(f"state/{name}/{batch - 2}" for name in STATES))
+        for name in (f"inbox/{batch}", *(f"state/{name}/{batch - 2}" for name in STATES)):
+            remove_folder(spark, f"{self.folder}/{name}")
+        remove_stages(spark, stages)
 
     def _evaluate(self, events: DataFrame, before: dict[str, DataFrame], batch: int) -> tuple[list[DataFrame], dict[str, DataFrame]]:
         """Alerts of the new events, and the state after them."""
 
-        def kept(name: str, hits: DataFrame) -> DataFrame:
-            return self._staged(hits, f"inbox/{batch}/{name}")
-
         newest = events.agg(F.max(micros()).alias("us")).unionByName(before["clock"].select(F.col("newest_us").alias("us"))).agg(F.max("us")).first()[0]
         newest = newest if newest is not None else 0
         recent = events.select(*before["recent"].columns).where(F.col("event_type").isin(FAILED_LOGIN, PROCESS)).unionByName(before["recent"])
         tail = events.unionByName(before["recent"], allowMissingColumns=True)
 
-        brute = kept("brute", th.failed_login_hits(tail, self.failed_login).join(before["alerted_pairs"], ["source", "user"], "left_anti"))
-        spray = kept("spray", th.spray_hits(tail, self.spray).join(before["alerted_sources"], "source", "left_anti"))
-        countries = kept("countries", th.new_country_hits(events).join(before["countries"], ["user", "country"], "left_anti"))
-        rapid = kept("rapid", th.rapid_process_hits(tail, self.rapid, before["cooldown"]))
+        rules: dict[str, Callable[[], DataFrame]] = {
+            "brute": lambda: th.failed_login_hits(tail, self.failed_login).join(before["alerted_pairs"], ["source", "user"], "left_anti"),
+            "spray": lambda: th.spray_hits(tail, self.spray).join(before["alerted_sources"], "source", "left_anti"),
+            "countries": lambda: th.new_country_hits(events).join(before["countries"], ["user", "country"], "left_anti"),
+            "rapid": lambda: th.rapid_process_hits(tail, self.rapid, before["cooldown"]),
+            "downloads": lambda: chains.download_execute_hits(events, self.execute_window_us, before["downloads"]),
+        }
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            found = dict(zip(rules, pool.map(lambda r: self._staged(r[1](), f"inbox/{batch}/{r[0]}"), rules.items()), strict=True))
+        brute, spray, countries, rapid, downloads = (found[r] for r in rules)
         armed = brute.select("source", "us", "seq").unionByName(before["armed"])
-        sessions = kept("sessions", chains.armed_sessions(events, armed)).unionByName(before["sessions"])
-        downloads = kept("downloads", chains.download_execute_hits(events, self.execute_window_us, before["downloads"]))
+        sessions = self._staged(chains.armed_sessions(events, armed).unionByName(before["sessions"]), f"inbox/{batch}/sessions")
         hits = [
             fmt.pattern_alerts(stateless.pattern_hits(events, self.rules)),
             fmt.failed_login_alerts(brute),
@@ -197,12 +205,6 @@ class RuleEngine:
         df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
         return df.sparkSession.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
-    def _remove(self, spark: SparkSession, *names: str) -> None:
-        jvm = spark.sparkContext._jvm
-        for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
     def counters(self, spark: SparkSession) -> DataFrame:
         """(counter, label, n): events_total, alerts_by_rule and alerts_by_severity up to now."""
         return spark.read.schema(COUNTERS).parquet(self.counters_path).groupBy("counter", "label").agg(F.sum("n").alias("n"))

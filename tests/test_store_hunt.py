@@ -1,17 +1,20 @@
 """From log files to stored events, and hunting over them."""
 
+import ipaddress
 import os
-from datetime import datetime, timezone
+import random
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 from samples import BASE, S, accepted, failed, frame, process
 
+from duskwatch.operators.enrich import disjoint_ranges, enrich_geo, enrich_geo_stream
 from duskwatch.operators.parse import events_of, parse_lines
 from duskwatch.plans import alerts as fmt
 from duskwatch.plans import hunt
 from duskwatch.plans.engine import DETECTORS, DetectionContext, detect, register_detector
-from duskwatch.schema import PROCESS
+from duskwatch.schema import EVENT_SCHEMA, PROCESS
 from duskwatch.sources import store
 from duskwatch.sources.logs import read_log_lines, stream_log_lines
 
@@ -175,3 +178,48 @@ def test_detector_registry(spark):
         assert detect(DetectionContext(sample(spark)), ["nothing"]).count() == 0
     finally:
         del DETECTORS["nothing"]
+
+
+def test_bounds_of_a_search_prune_days(spark, scratch):
+    events = frame(spark, [process(i, i * 43_200, "ls", f"ls {i}") for i in range(10)])
+    store.write_events(events, f"{scratch}/days")
+    at = datetime.fromtimestamp(BASE // S + 86_400, timezone.utc)
+    found = hunt.search_events(store.read_events(spark, f"{scratch}/days", with_day=True), start=at, end=at + timedelta(days=1))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = [x for x in plan.split("\n") if "PartitionFilters" in x][0].split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert filters.count("dt#") >= 2 and "event_type#" in filters
+    assert [r["command"] for r in found.collect()] == ["ls 4", "ls 3", "ls 2"]
+
+
+def test_ancestry_of_one_pid_equals_that_of_all(spark):
+    r = random.Random(4)
+    events = [process(i, i, "sh", f"c{i}", pid=str(r.randrange(2, 40)), ppid=str(r.choice([0, 1, *range(2, 60)]))) for i in range(120)]
+    df = frame(spark, events).cache()
+    every = hunt.process_ancestry_all(df, 12).collect()
+    for pid in ("2", "9", "17", "59", "none"):
+        want = sorted(tuple(x)[1:] for x in every if x["start_pid"] == pid)
+        assert [tuple(x) for x in hunt.process_ancestry(df, pid, 12).collect()] == want
+
+
+def ipv4(text: str) -> int:
+    return int(ipaddress.IPv4Address(text))
+
+
+def test_overlapping_ranges_give_one_row_an_event_in_a_stream(spark, scratch):
+    r = random.Random(5)
+    ranges = []
+    for i in range(40):
+        start = ipv4(f"203.{r.randrange(3)}.{r.randrange(256)}.{r.randrange(256)}")
+        ranges.append((start, start + r.choice([0, 3, 300, 70_000, 200_000]), f"C{i}", f"c{i}", f"t{i}", 1.5, 2.5))
+    ranges.append((ipv4("203.0.0.0"), ipv4("203.2.255.255"), "ALL", "all", "t", 1.0, 1.0))
+    geo = spark.createDataFrame(ranges, "start_ip long, end_ip long, country string, country_name string, city string, lat double, lon double")
+    events = frame(spark, [accepted(i, i, source=f"203.{r.randrange(4)}.{r.randrange(256)}.{r.randrange(256)}") for i in range(400)])
+    events.write.parquet(f"{scratch}/geo")
+    live = enrich_geo_stream(spark.readStream.schema(EVENT_SCHEMA).parquet(f"{scratch}/geo"), geo)
+    q = live.writeStream.format("memory").queryName("overlapping").trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    cols = ["seq", "country", "city", "latitude", "longitude"]
+    got = sorted(map(str, spark.table("overlapping").select(*cols).collect()))
+    assert got == sorted(map(str, enrich_geo(events, geo).select(*cols).collect())) and len(got) == 400
+    cut = [tuple(x) for x in disjoint_ranges(geo).select("start_ip", "end_ip").orderBy("start_ip").collect()]
+    assert all(a[1] < b[0] for a, b in zip(cut, cut[1:], strict=False))
