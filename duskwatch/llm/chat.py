@@ -48,9 +48,10 @@ def format_chat(
     conversation into windows of whole turns: turns inside one stride of the budget
     share a window, and a turn that crosses a stride's end is a window of its own.
     Each window starts with the conversation's system turn (its first turn, if it
-    has that role) and with as many turns before it as fit into ``history`` tokens;
-    these n_repeated turns were targets before.  ``loss`` has the begin and end (code points) of the
-    texts of new assistant turns only.  Only a turn longer than the budget makes a longer window.
+    has that role) and with as many turns before it as fit into ``history`` tokens and into what
+    the system turn and the new turns leave of the budget, the newest of them; these n_repeated turns were targets before.  ``loss`` has the begin and end (code points) of the
+    texts of new assistant turns only.  Only a turn that does not fit in beside the
+    system turn makes a longer window.  Costs are estimates from characters, as no tokenizer is native to SQL.
 
     Prefix sums are taken by runs of turns and then within them, history is an
     equality join on strides, and a group holds one window, so a conversation of
@@ -97,7 +98,8 @@ def format_chat(
     )
     is_system = F.col("first_run") & (F.col("number") == 1) & F.col("system").isNotNull()
     system_cost = F.coalesce(F.col("system.cost"), F.lit(0))
-    stride = F.greatest(F.lit(budget - history) - system_cost, F.lit(max(1, budget // 4)))
+    # New turns of a window: what history leaves, at least a quarter, but no more than the system turn leaves.
+    stride = F.greatest(F.lit(budget - history) - system_cost, F.least(F.lit(budget // 4), F.lit(budget) - system_cost), F.lit(1))
     start = F.when(is_system, 0).otherwise(F.col("run_start") + F.col("before") - system_cost)
     first, last = F.floor(F.col("start") / F.col("stride")), F.floor((F.col("start") + F.col("cost") - 1) / F.col("stride"))
     window = F.when(F.col("is_system") | (F.col("start") == 0), 0).when(first == last, 2 * first).otherwise(2 * first + 1)
@@ -110,7 +112,9 @@ def format_chat(
     member = ["conv_id", "window", "rank", "start", "run", "number", "role", "head", "body", "cost"]
     new = timed.withColumn("rank", F.when(F.col("is_system"), 0).otherwise(2)).withColumn("is_new", F.lit(True))
     spoken = timed.where("not is_system")
-    windows = spoken.groupBy("conv_id", "window").agg(F.min("start").alias("opens"), F.first("system").alias("system"))
+    windows = spoken.groupBy("conv_id", "window").agg(
+        F.min("start").alias("opens"), F.first("system").alias("system"), F.sum("cost").alias("new_cost")
+    )
     parts = [new.select(*member, "is_new")]
     # The system turn again, but for the window that has it as its own.
     parts.append(
@@ -126,12 +130,15 @@ def format_chat(
             F.explode(F.array(near, near + 1)).alias("__cell"),
         )
         opening = windows.where("opens > 0").withColumn("cell", F.floor(F.col("opens") / history))
+        # The oldest history goes first where the system turn and the new ones need its room.
+        room = F.lit(budget) - F.coalesce("system.cost", F.lit(0)) - F.col("new_cost")
+        opening = opening.withColumn("reach", F.least(F.lit(history), room)).drop("new_cost")
         past = opening.join(
             earlier,
             F.col("conv_id").eqNullSafe(F.col("__conv"))
             & (F.col("cell") == F.col("__cell"))
             & (F.col("start") < F.col("opens"))
-            & (F.col("start") >= F.col("opens") - history),
+            & (F.col("start") >= F.col("opens") - F.col("reach")),
         )
         parts.append(past.withColumn("rank", F.lit(1)).withColumn("is_new", F.lit(False)).select(*member, "is_new"))
     everyone = parts[0]

@@ -435,7 +435,8 @@ def test_chat(spark):
             assert (r["loss_chars"], r["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
         for w in windows.collect():
             assert w["formatted"].count(chat.START) == w["formatted"].count(chat.END) == w["n_turns"]
-            assert w["tokens"] <= budget or w["n_turns"] - w["n_repeated"] == 1
+            # Only a turn that does not fit in beside the system turn makes a longer window, without history.
+            assert w["tokens"] <= budget or (w["n_turns"] - w["n_repeated"] == 1 and w["n_repeated"] <= 1)
             if w["conv_id"] == 1:
                 assert w["formatted"].startswith(chat.START + "system\n")
     assert chat.digests(chat.format_chat(turns.limit(0))).count() == 0
@@ -500,3 +501,17 @@ def test_recall_of_the_nearest_neighbours(spark, kind):
     assert hits >= 0.9 * 20 * 75
     # Vectors of another number of components are searched among themselves.
     assert [v for _, v, _ in sorted(got[5000])] == [5020, 5001] and [v for _, v, _ in sorted(got[5020])] == [5000, 5001]
+
+
+def test_chat_history_gives_way(spark):
+    def costs(*roles_and_costs):
+        return [(1, t, role, "x" * (4 * n - len(f"{chat.START}{role}\n{chat.END}") - 1)) for t, (role, n) in enumerate(roles_and_costs)]
+
+    for said in (
+        [("user", 510), ("assistant", 510), ("user", 1808), ("assistant", 100)],
+        [("system", 1504), *[("user", 200), ("assistant", 250)] * 8],
+        [("system", 1900), *[("user", 40), ("assistant", 60)] * 8],
+    ):
+        turns = spark.createDataFrame(costs(*said), "conv_id long, turn int, role string, text string")
+        windows = chat.format_chat(turns, 2048, 512).collect()
+        assert max(w["tokens"] for w in windows) <= 2048 and sum(w["n_turns"] - w["n_repeated"] for w in windows) == len(said)
