@@ -51,10 +51,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if ids["n"] == ids["ids"]:
         gone = near_duplicates(docs, SHINGLE_WORDS, PERCENT).where("not kept").select("doc_id")
         return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    numbered = ranked(docs.withColumn("__all", F.lit(0)), "__all", [F.col("doc_id"), F.xxhash64("text")], "pipeline-rows")
-    numbered = numbered.drop("__all").withColumnRenamed("pos", "__row")
-    gone = near_duplicates(numbered.select(F.col("__row").alias("doc_id"), "text"), SHINGLE_WORDS, PERCENT).where("not kept")
-    return numbered.join(gone.select(F.col("doc_id").alias("__row")), "__row", "left_anti").select(*docs.columns)
+    whole = docs.select(F.struct(*docs.columns).alias("whole"), F.lit(0).alias("all"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("mark"))
+    numbered = ranked(whole, "all", [F.col("id"), F.col("mark")], "pipeline-rows").select("pos", "whole")
+    gone = near_duplicates(numbered.select(F.col("pos").alias("doc_id"), "whole.text"), SHINGLE_WORDS, PERCENT).where("not kept")
+    return numbered.join(gone.select(F.col("doc_id").alias("pos")), "pos", "left_anti").select("whole.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
