@@ -387,3 +387,30 @@ ORACLES["event_documents_roundtrip"] = _with(
     "SELECT us, event_type, source, usr, sshd_pid, process_name, pid, ppid, uid, return_code, command FROM ev"
 )
 ORACLES["stored_events"] = ORACLES["search_time_range"]
+
+# Commands of a host in order, each with its usable downloads, newest first; a list of what is used is carried along.
+ORACLES["download_execute_contested"] = _with(
+    f"""SELECT 'CorrelatedDownloadAndExecute' AS rule_name, 'CRITICAL' AS severity, c.us, c.seq, c.host, c.source,
+         'Attack Chain Detected: A file was download to ' || d.path || ' and then executed.' AS message,
+         'T1105' AS mitre_technique, {_span("c.us - d.us")} AS time_to_execution,
+         c.command AS executed_command, d.path AS staged_filepath
+       FROM steps s JOIN cmds c ON c.host = s.host AND c.rn = s.rn JOIN dl d ON d.host = s.host AND d.seq = s.pick""",
+    f"""pe AS (
+  SELECT * REPLACE (CASE WHEN starts_with(command, 'bash /tmp/') OR starts_with(command, 'chmod 777 ')
+    THEN 'sh /tmp/p' || seq % 5 || '.sh /dev/shm/q' || (seq // 3) % 5 ELSE command END AS command) FROM ({_PROCESS})),
+dl0 AS (SELECT host, us, seq, split_part(command, ' ', 3) AS path FROM pe WHERE process_name IN ('wget', 'curl')),
+dl AS (SELECT *, lead(seq) OVER (PARTITION BY host, path ORDER BY seq) AS next_seq FROM dl0),
+cmds AS (
+  SELECT *, row_number() OVER (PARTITION BY host ORDER BY seq) AS rn FROM (
+  SELECT e.host, e.us, e.seq, e.source, e.command, list(d.seq ORDER BY d.seq DESC) AS opts
+  FROM pe e JOIN dl d ON d.host = e.host AND d.seq < e.seq AND (d.next_seq IS NULL OR e.seq < d.next_seq)
+   AND e.us - d.us <= 120000000 AND contains(e.command, d.path)
+  WHERE e.process_name NOT IN ('wget', 'curl') GROUP BY ALL)),
+steps AS (
+  SELECT DISTINCT host, 0::BIGINT AS rn, []::BIGINT[] AS used, NULL::BIGINT AS pick FROM cmds
+  UNION ALL
+  SELECT host, rn + 1, CASE WHEN p IS NULL THEN used ELSE list_append(used, p) END, p
+  FROM (SELECT s.host, s.rn, s.used, list_filter(c.opts, lambda o: NOT list_contains(s.used, o))[1] AS p
+        FROM steps s JOIN cmds c ON c.host = s.host AND c.rn = s.rn + 1))""",
+    recursive=True,
+)

@@ -205,6 +205,17 @@ def download_execute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(alerts, "mitre_technique", "time_to_execution", "executed_command", "staged_filepath")
 
 
+@query
+def download_execute_contested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events, but commands name two staged paths, so they compete for downloads."""
+    events = fx.security_events(spark, sf_dir)
+    named = F.concat(F.lit("sh /tmp/p"), F.pmod("seq", F.lit(5)), F.lit(".sh /dev/shm/q"), F.pmod(F.floor(F.col("seq") / 3), F.lit(5)))
+    runs = F.col("command").startswith("bash /tmp/") | F.col("command").startswith("chmod 777 ")
+    ctx = DetectionContext(events.withColumn("command", F.when(runs, named).otherwise(F.col("command"))))
+    alerts = detect(ctx, ["download_execute"])
+    return _flat(alerts, "mitre_technique", "time_to_execution", "executed_command", "staged_filepath")
+
+
 @query
 def new_account_use(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(
