@@ -29,14 +29,16 @@ def _failed(events: DataFrame) -> DataFrame:
     ).select("host", "ts", micros().alias("us"), "seq", F.coalesce("source", F.lit("")).alias("source"), "user")
 
 
-def failed_login_hits(events: DataFrame, params: FailedLoginParams = FailedLoginParams()) -> DataFrame:
-    rows = trimmed(_failed(events).drop("ts"), rules.trim_failed_logins(params))
-    return apply_rule(rows, rules.failed_logins(params))
+def failed_login_hits(
+    events: DataFrame, params: FailedLoginParams = FailedLoginParams(), watermark: str | None = None
+) -> DataFrame:
+    rows = trimmed(_failed(events), rules.trim_failed_logins(params))
+    return apply_rule(rows, rules.failed_logins(params), watermark)
 
 
-def spray_hits(events: DataFrame, params: SprayParams = SprayParams()) -> DataFrame:
-    rows = trimmed(_failed(events).drop("ts").where(F.col("source") != ""), rules.trim_spray(params))
-    return apply_rule(rows, rules.spray(params))
+def spray_hits(events: DataFrame, params: SprayParams = SprayParams(), watermark: str | None = None) -> DataFrame:
+    rows = trimmed(_failed(events).where(F.col("source") != ""), rules.trim_spray(params))
+    return apply_rule(rows, rules.spray(params), watermark)
 
 
 def new_country_hits(events: DataFrame) -> DataFrame:
@@ -136,7 +138,12 @@ def _read_stage(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def brute_force_stage(
-    events: DataFrame, path: str, checkpoint: str, params: FailedLoginParams = FailedLoginParams(), **trigger
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    params: FailedLoginParams = FailedLoginParams(),
+    watermark: str | None = None,
+    **trigger,
 ) -> StreamingQuery:
     """First query: failed-login alerts, with the logins and evasion commands of the same batch."""
     logins = events.where(F.col("event_type") == ACCEPTED_LOGIN).withColumn("us", micros())
@@ -146,7 +153,7 @@ def brute_force_stage(
         & F.col("ppid").isNotNull()
     ).withColumn("us", micros())
     out = (
-        _stage(failed_login_hits(events, params), "alert")
+        _stage(failed_login_hits(events, params, watermark), "alert")
         .unionByName(_stage(logins, "login", pid="sshd_pid"))
         .unionByName(_stage(evasions, "evasion", pid="ppid", command="command"))
     )

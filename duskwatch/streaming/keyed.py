@@ -28,6 +28,8 @@ class KeyedRule:
     expiry_us: int | None = None
     # Newest time that a state holds; a late batch must not bring its end forward.
     newest_us: Callable[[tuple], int] | None = None
+    # State that must outlive the expiry, such as the fact that a key has alerted.
+    settled: Callable[[tuple], bool] | None = None
 
     @property
     def hit_columns(self) -> list[str]:
@@ -53,10 +55,11 @@ def apply_rule(df: DataFrame, rule: KeyedRule, watermark: str | None = None) ->
 
     Without a watermark late rows are accepted as they come and state is kept.
     With one (a delay on ``ts``), rows later than it are dropped by Spark and
-    state is removed once it can no longer matter.
+    state is removed once it can no longer matter; a settled key stays.
     """
     expires = watermark is not None and rule.expiry_us is not None
     hit_columns, step, expiry_us, newest_us = rule.hit_columns, rule.step, rule.expiry_us, rule.newest_us
+    settled = rule.settled
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -70,7 +73,7 @@ def apply_rule(df: DataFrame, rule: KeyedRule, watermark: str | None = None) ->
                 state.remove()
         else:
             state.update(after)
-            if expires:
+            if expires and not (settled and settled(after)):
                 # Strictly after the window, whose end still counts.
                 newest = max(int(rows["us"].iloc[-1]), newest_us(after) if newest_us else 0)
                 due = (newest + expiry_us) // 1000 + 1

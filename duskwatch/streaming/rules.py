@@ -33,6 +33,9 @@ def failed_logins(params: FailedLoginParams) -> KeyedRule:
         step,
         "times array<long>, alerted boolean",
         HIT + ", user string, attempt_count long, window_us long",
+        span,
+        lambda s: max(s[0], default=0),
+        lambda s: s[1],
     )
 
 
@@ -74,6 +77,9 @@ def spray(params: SprayParams) -> KeyedRule:
         step,
         "users array<string>, lasts array<long>, alerted boolean",
         HIT + ", user_count long, window_us long",
+        span,
+        lambda s: max(s[1], default=0),
+        lambda s: s[2],
     )
 
 

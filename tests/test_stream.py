@@ -6,7 +6,7 @@ from samples import S, frame, random_events
 
 from duskwatch.operators import chains, stateless
 from duskwatch.operators import thresholds as th
-from duskwatch.schema import ACCEPTED_LOGIN, EVENT_SCHEMA, PROCESS
+from duskwatch.schema import ACCEPTED_LOGIN, EVENT_SCHEMA, FAILED_LOGIN, PROCESS
 from duskwatch.streaming import detect as sd
 from duskwatch.streaming import rules
 
@@ -64,7 +64,9 @@ def test_stream_equals_batch(spark, landed, name):
     assert got == want and got
 
 
-@pytest.mark.parametrize("name", ["rapid_process_hits", "new_account_hits", "download_execute_hits"])
+@pytest.mark.parametrize(
+    "name", ["failed_login_hits", "spray_hits", "rapid_process_hits", "new_account_hits", "download_execute_hits"]
+)
 def test_expiry_does_not_change_results(spark, landed, name):
     stream, batch = landed
     live, whole, cols = CASES[name]
@@ -72,6 +74,43 @@ def test_expiry_does_not_change_results(spark, landed, name):
     assert got == rows(whole(batch), *cols) and got
 
 
+@pytest.mark.parametrize("name", ["failed_login_hits", "spray_hits"])
+def test_keys_that_never_alert_expire(spark, scratch, name):
+    """Ten addresses with too few attempts leave no state behind; the one that alerted stays settled."""
+    def attempts(start, source, n):
+        return [
+            {"event_type": FAILED_LOGIN, "host": "h", "us": (start + i) * S, "seq": start + i, "source": source, "user": "u" if name == "failed_login_hits" else f"u{i}"}
+            for i in range(n)
+        ]
+
+    landed = [
+        [e for i in range(10) for e in attempts(1000 + i, f"10.0.0.{i}", 2)],
+        attempts(1100, "10.0.1.1", 30),
+        attempts(90_000, "10.0.2.1", 1),
+        attempts(180_000, "10.0.1.1", 30),
+        attempts(270_000, "10.0.2.2", 1),
+    ]
+    for events in landed:
+        frame(spark, events).coalesce(1).write.mode("append").parquet(f"{scratch}/landed")
+    live = CASES[name][0]
+
+    def left(watermark, label):
+        stream = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/landed")
+        q = (
+            live(stream, watermark=watermark).writeStream.format("memory").queryName(f"{name}_{label}")
+            .outputMode("append").trigger(availableNow=True).start()
+        )
+        q.awaitTermination(300)
+        rows_left = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]][-1]
+        return spark.table(f"{name}_{label}").select("us", "source").collect(), rows_left
+
+    kept_hits, kept = left(None, "kept")
+    hits, expired = left("1 second", "expired")
+    assert hits == kept_hits and [h["source"] for h in hits] == ["10.0.1.1"]
+    # Settled: 10.0.1.1. The newest attempt may still be waiting for its time.
+    assert kept == 13 and expired <= 2
+
+
 def test_brute_force_chain(spark, landed, scratch):
     stream, batch = landed
     sd.brute_force_stage(stream(), f"{scratch}/s1", f"{scratch}/c1").awaitTermination(300)
