@@ -395,6 +395,13 @@ def test_fingerprints(docs, rows, spark, none):
         assert (r["n_chars"], r["edited_sha256"]) == (len(texts[k]), hashlib.sha256(new.encode()).hexdigest())
         assert r["near_edited"] == pytest.approx(like(keys[k], set(fingerprint.paragraph_keys(new).tolist())))
         assert r["near_next"] == pytest.approx(like(keys[k], keys[(k + 1) % len(keys)]))
+        changed = set(fingerprint.paragraph_keys(new).view(np.int64).tolist())
+        own = {x - 2**64 if x >= 2**63 else x for x in keys[k]}
+        assert (set(r["lost"]), set(r["gained"])) == (own - changed, changed - own)
+        # What the two fingerprints say by themselves is what is returned.
+        alone = fingerprint.compare(r["fingerprint"], r["edited_fingerprint"])
+        assert alone is None or alone == r["near_edited"]
+        assert fingerprint.compare(r["fingerprint"], r["fingerprint"]) == 1.0
     by_text: dict = {}
     for k, i in enumerate(ids):
         by_text.setdefault(texts[k], set()).add(got[i]["fingerprint"])
@@ -410,7 +417,25 @@ def test_fingerprints(docs, rows, spark, none):
 def test_sketches_grow_until_they_peel():
     rng = np.random.default_rng(1)
     a, b = rng.integers(0, 2**63, 3000).astype(np.uint64), rng.integers(0, 2**63, 2500).astype(np.uint64)
-    assert fingerprint.likenesses([a], [np.concatenate([a[:1000], b])])[0] == pytest.approx(2000 / 6500)
+    other = np.concatenate([a[:1000], b])
+    tables = [fingerprint.sketches([x, y]) for x, y in ((a, a), (other, a))]
+    (lost, gained), same = fingerprint.differences([a, a], [other, a], *tables)
+    assert set(lost.tolist()) == set(a[1000:].tolist()) and set(gained.tolist()) == set(b.tolist())
+    assert [len(x) for x in same] == [0, 0]
+
+
+def test_fingerprints_alone_tell_small_edits():
+    """A sketch sized by paragraphs recovers a tenth of changed ones, also between fingerprints of unequal sizes."""
+    rng = np.random.default_rng(2)
+    told = 0
+    for n in (40, 200, 770, 3000):
+        a = rng.integers(0, 2**63, n).astype(np.uint64)
+        b = np.concatenate([a[n // 20 :], rng.integers(0, 2**63, n // 10).astype(np.uint64)])
+        one, other = (fingerprint.as_text(fingerprint.sketches([x]), [len(x)])[0] for x in (a, b))
+        got = fingerprint.compare(one, other)
+        told += got is not None
+        assert got is None or got == pytest.approx(1 - (n // 20 + n // 10) / (len(a) + len(b)))
+    assert told >= 3
 
 
 def test_chat(spark):
