@@ -375,7 +375,34 @@ def test_licences(docs, rows, spark, none):
             words.insert(rng.randrange(len(words) + 1), rng.choice(WORDS))
         unit = licences.bigrams(" ".join(words[rng.randint(0, 2) :]))
         want = {n for n, x in licences.TEMPLATES if 2 * len(unit & licences.bigrams(x)) >= 0.8 * (len(unit) + len(licences.bigrams(x))) - 1e-9}
-        assert {n for _, n in matcher.matches(unit)} == want
+        assert {n for _, _, n in matcher.matches(unit)} == want
+
+
+def test_licences_inside_longer_text():
+    """Whole licences, wrapped ones, and notices inside a sentence or a paragraph."""
+    rng = random.Random(3)
+    matcher = licences.Matcher(licences.TEMPLATES, 80)
+    whole = {name: text for name, text in licences.TEMPLATES}  # the last of a name is its longest
+    for name, text in whole.items():
+        words = text.split()
+        wrapped = "\n".join(" ".join(words[i : i + 9]) for i in range(0, len(words), 9))
+        for around in ("{}", "Copyright (c) 2019 Jane Doe\n\n{}", sentence(rng, 50) + " {} " + sentence(rng, 50)):
+            assert matcher.scan(around.format(wrapped))[1] == name
+    assert matcher.scan("Copyright 2019 Acme Corporation. All rights reserved.")[:2] == (1, "Proprietary")
+    assert matcher.scan("The code in this archive is released under the MIT License.")[:2] == (1, "MIT")
+    assert matcher.scan("Copyright 2001. All rights reserved.\n" + whole["BSD-3-Clause"])[1] == "BSD-3-Clause"
+    assert matcher.scan("all the rights that the authors of the software reserved under the terms of the agreement")[0] == 0
+    # Skipping windows with too few of the template's bigrams changes nothing.
+    for _ in range(60):
+        t = rng.randrange(len(matcher.templates))
+        words = sentence(rng, 5).split() + list(matcher.templates[t][3]) + sentence(rng, 5).split()
+        for _ in range(rng.randint(0, len(words) // 6)):
+            words[rng.randrange(len(words))] = rng.choice(WORDS)
+        hits = [i for i, pair in enumerate(zip(words, words[1:])) if pair in matcher.places]
+        size = len(matcher.templates[t][3])
+        starts = {i - q for i in hits for u, q in matcher.places[words[i], words[i + 1]] if u == t}
+        want = {m for s in starts if (m := matcher.shared(licences.pairs(words[max(s, 0) : s + size]), t))}
+        assert {m for m in matcher.windows(words, hits) if m[2] == matcher.templates[t][1]} >= want
 
 
 def test_fingerprints(docs, rows, spark, none):
