@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 from duskwatch.llm.common import staged, table
 
 DEGREE = 32  # neighbours kept for a node
-SAMPLED = 16  # of them, and of those that name it, joined in a round
+SAMPLED = 32  # of them, and of those that name it, joined in a round
 LEAF = 192  # nodes that are compared with each other at the start
 TABLES = 4  # partitions of the nodes into such leaves
 ROUNDS, LEAST_CHANGE = 6, 0.02
 FIT_ROWS = 2_000  # bounded sample from which the split points of the leaves are taken
-BEAM, EXPANDED = 64, 16
+BEAM, PART_EXPANDED = 128, 4  # a round expands at most a fourth of a beam
 ENTRIES = 32  # nodes of the greatest length, from which each query starts besides its own
+# The beam widens until so much is found of the nearest of a few queries, which one pass over all rows tells.
+RECALL, CHECKED, WIDER = 0.93, 64, 2
 SEED = 20240612
 
 
@@ -59,12 +61,12 @@ def list_column(parts: list[np.ndarray], kind) -> pa.Array:
 
 def neighbour_batch(nodes: list, ids: list[np.ndarray], scores: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(nodes, pa.int64()), list_column(ids, pa.int64()), list_column(scores, pa.float32())],
+        [pa.array(nodes, pa.int64()), list_column(ids, pa.int64()), list_column(scores, pa.float64())],
         names=["node", "ids", "scores"],
     )
 
 
-GRAPH = "node long, ids array<long>, scores array<float>"
+GRAPH = "node long, ids array<long>, scores array<double>"
 
 
 def compare_group(groups: DataFrame, keep: int) -> DataFrame:
@@ -74,7 +76,7 @@ def compare_group(groups: DataFrame, keep: int) -> DataFrame:
         for batch in batches:
             group = batch.column("g")
             ends, values = group.offsets.to_numpy(), group.values
-            node, v = values.field("node").to_numpy(), matrix(values.field("v")).astype(np.float32)
+            node, v = values.field("node").to_numpy(), matrix(values.field("v")).astype(np.float64)
             nodes, ids, scores = [], [], []
             for a, b in zip(ends, ends[1:], strict=False):
                 if b - a < 2:
@@ -125,15 +127,15 @@ def merged(rows: DataFrame, degree: int) -> DataFrame:
 
 def first_graph(vectors: DataFrame, n: int, degree: int) -> DataFrame:
     """Neighbours within random-projection leaves, several times; a leaf that is too large is split by a hash."""
-    sample = np.array([r["v"] for r in vectors.orderBy(F.xxhash64("node")).limit(FIT_ROWS).select("v").collect()], dtype=np.float32)
+    sample = np.array([r["v"] for r in vectors.orderBy(F.xxhash64("node")).limit(FIT_ROWS).select("v").collect()], dtype=np.float64)
     bits = max(0, int(np.ceil(np.log2(max(1, n / LEAF)))))
     rng = np.random.default_rng(SEED)
-    planes = rng.standard_normal((TABLES, bits, sample.shape[1])).astype(np.float32)
+    planes = rng.standard_normal((TABLES, bits, sample.shape[1]))
     splits = np.median(np.einsum("nd,tbd->tbn", sample, planes), axis=2) if bits else np.zeros((TABLES, 0))
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = matrix(batch.column("v")).astype(np.float32)
+            v = matrix(batch.column("v")).astype(np.float64)
             for t in range(TABLES if bits else 1):
                 above = (v @ planes[t].T > splits[t]) if len(v) else np.zeros((0, bits), bool)
                 leaf = (above * (1 << np.arange(bits, dtype=np.int64))).sum(axis=1).astype(np.int64)
@@ -148,7 +150,7 @@ def first_graph(vectors: DataFrame, n: int, degree: int) -> DataFrame:
     dealt = placed.join(sizes, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("node", "tree"), F.col("parts")))
     groups = dealt.groupBy("tree", "leaf", "part").agg(F.collect_list(F.struct("node", "v")).alias("g"))
     found = compare_group(groups, degree).withColumn("old", F.lit(False))
-    alone = vectors.select("node", F.array().cast("array<long>").alias("ids"), F.array().cast("array<float>").alias("scores"), F.lit(False).alias("old"))
+    alone = vectors.select("node", F.array().cast("array<long>").alias("ids"), F.array().cast("array<double>").alias("scores"), F.lit(False).alias("old"))
     return merged(found.union(alone), degree)
 
 
@@ -200,13 +202,44 @@ def build_index(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddin
     return Index(nodes, members, reduce(DataFrame.union, graphs))
 
 
-def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM) -> DataFrame:
+def nearest_by_all(index: Index, queries: DataFrame, k: int, most: int = CHECKED) -> DataFrame:
+    """(query_id, node): the ``k`` nearest nodes of at most ``most`` of the queries, by a hash, compared with all nodes."""
+    rows = queries.select("query_id", "q").orderBy(F.xxhash64("query_id"), "query_id").limit(most).collect()
+    ids = np.array([r["query_id"] for r in rows], dtype=np.int64)
+    by_size = {d: ([i for i, r in enumerate(rows) if len(r["q"]) == d]) for d in {len(r["q"]) for r in rows}}
+    asked = {d: (ids[at], np.array([rows[i]["q"] for i in at], dtype=np.float64)) for d, at in by_size.items()}
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict = {}
+        for batch in batches:
+            node, size = batch.column("node").to_numpy(), np.diff(batch.column("v").offsets.to_numpy())
+            for d, (_, q) in asked.items():
+                mine = np.flatnonzero(size == d)
+                if len(mine):
+                    s = q @ matrix(batch.column("v").take(pa.array(mine))).astype(np.float64).T
+                    old_n, old_s = best.get(d, (np.zeros((len(q), 0), np.int64), np.zeros((len(q), 0))))
+                    n, s = np.hstack([old_n, np.broadcast_to(node[mine], s.shape)]), np.hstack([old_s, s])
+                    order = np.lexsort((n, -s), axis=1)[:, :k]
+                    best[d] = np.take_along_axis(n, order, axis=1), np.take_along_axis(s, order, axis=1)
+        for d, (n, s) in best.items():
+            flat = [np.repeat(asked[d][0], n.shape[1]), n.ravel(), s.ravel()]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in flat], names=["query_id", "node", "score"])
+
+    rows = index.vectors.select("node", "v").mapInArrow(compare, "query_id long, node long, score double")
+    order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "node"))
+    return rows.withColumn("nth", order).where(F.col("nth") <= k).select("query_id", "node")
+
+
+def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM, recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query (query_id, q, own) its ``k`` nearest by inner product in double precision.
 
     ``own`` is the query's vec_id in the index, never returned, or null.  A query keeps
     its best ``beam`` nodes; each round expands the best ones not expanded yet, for all
     queries at once by joins with the graph and the vectors, until none is left.
     A query starts from its own node, if it is in the index, and from the ENTRIES nodes of the greatest length.
+    How much that finds depends on the vectors, so it is measured: the nearest nodes of CHECKED queries are also taken
+    by comparison with all.  Until the beams hold the share ``recall`` of them, all queries go on with a beam WIDER times as wide
+    and as many more entries, half of them the longest nodes and half by a hash; a beam as wide as the index holds all nodes.
 
     Defined cases: ties go to the smaller vec_id; fewer than ``k`` candidates are all returned if the
     search reaches them, as it does when there are no more than ENTRIES nodes; queries whose vector has another
@@ -216,13 +249,15 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM) -> D
     placed = staged(queries, "ann-queries")
     home = index.members.select(F.col("vec_id").alias("own"), "node")
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    longest = F.row_number().over(Window.partitionBy(F.size("v")).orderBy(F.desc(norm), "node"))
-    # ENTRIES rows for each number of components.
-    entries = nodes.withColumn("nth", longest).where(F.col("nth") <= ENTRIES).select("node", F.size("v").alias("d"))
     own = placed.join(home, "own").select("query_id", "node")
-    wanted = own.union(placed.join(F.broadcast(entries), F.size("q") == F.col("d")).select("query_id", "node")).distinct()
     vectors_of = placed.select("query_id", "q")
 
+    def entries(most: int, *order) -> DataFrame:
+        """Pairs of each query with the first ``most`` nodes of its number of components."""
+        nth = F.row_number().over(Window.partitionBy(F.size("v")).orderBy(*order, "node"))
+        first = nodes.withColumn("nth", nth).where(F.col("nth") <= most).select("node", F.size("v").alias("d"))
+        return placed.join(F.broadcast(first), F.size("q") == F.col("d")).select("query_id", "node")
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             q, v = batch.column("q"), batch.column("v")
@@ -237,32 +272,58 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM) -> D
 
     # The beam: (negative score, node, expanded), so that ascending order is nearest first, then by id.
     def beam_of(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list("e")), 1, beam).alias("beam"))
+        most = beam
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ends, values = batch.column("beam").offsets.to_numpy(), batch.column("beam").values
+                s, node = values.field("s").to_numpy(), values.field("node").to_numpy()
+                kept = [a + np.lexsort((node[a:b], s[a:b]))[:most] for a, b in zip(ends, ends[1:], strict=False)]
+                sizes = np.cumsum([0, *map(len, kept)]).astype(np.int32)
+                best = values.take(pa.array(np.concatenate(kept))) if kept else values
+                yield pa.RecordBatch.from_arrays([batch.column("query_id"), pa.ListArray.from_arrays(pa.array(sizes), best)], names=["query_id", "beam"])
+
+        grouped = rows.groupBy("query_id").agg(F.collect_list("e").alias("beam"))
+        return grouped.mapInArrow(cut, "query_id long, beam array<struct<s:double,node:long,expanded:boolean>>")
 
     def entry(expanded: bool):
         return F.struct((-F.col("score")).alias("s"), F.col("node").alias("node"), F.lit(expanded).alias("expanded"))
 
-    state = staged(beam_of(scored(wanted).select("query_id", entry(False).alias("e"))), "ann-beam")
-    while True:
-        chosen = F.slice(F.filter("beam", lambda e: ~e["expanded"]), 1, EXPANDED)
-        front = state.select("query_id", F.transform(chosen, lambda e: e["node"]).alias("front"), "beam").where(F.size("front") > 0)
-        if front.isEmpty():
-            break
-        steps = front.select("query_id", F.explode("front").alias("node"))
-        near = steps.join(index.graph.select("node", "ids"), "node").select("query_id", F.explode("ids").alias("node")).distinct()
-        seen = state.select("query_id", F.explode("beam").alias("e")).select("query_id", "e.node")
-        new = scored(near.join(seen, ["query_id", "node"], "left_anti")).select("query_id", entry(False).alias("e"))
-        old = (
-            state.select("query_id", F.transform(chosen, lambda e: e["node"]).alias("front"), F.explode("beam").alias("e"))
-            .select(
-                "query_id",
-                F.struct(
-                    F.col("e.s").alias("s"), F.col("e.node").alias("node"),
-                    (F.col("e.expanded") | F.array_contains("front", F.col("e.node"))).alias("expanded"),
-                ).alias("e"),
-            )
-        )
-        state = staged(beam_of(new.union(old)), "ann-beam")
+    def climbed(state: DataFrame) -> DataFrame:
+        """The beams once each of their nodes is expanded."""
+        while True:
+            chosen = F.slice(F.filter("beam", lambda e: ~e["expanded"]), 1, max(1, beam // PART_EXPANDED))
+            front = state.select("query_id", F.transform(chosen, lambda e: e["node"]).alias("front"), "beam").where(F.size("front") > 0)
+            if front.isEmpty():
+                return state
+            steps = front.select("query_id", F.explode("front").alias("node"))
+            near = steps.join(index.graph.select("node", "ids"), "node").select("query_id", F.explode("ids").alias("node")).distinct()
+            new = scored(near.join(held(state), ["query_id", "node"], "left_anti")).select("query_id", entry(False).alias("e"))
+            old = (
+                state.select("query_id", F.transform(chosen, lambda e: e["node"]).alias("front"), F.explode("beam").alias("e"))
+                .select(
+                    "query_id",
+                    F.struct(
+                        F.col("e.s").alias("s"), F.col("e.node").alias("node"),
+                        (F.col("e.expanded") | F.array_contains("front", F.col("e.node"))).alias("expanded"),
+                    ).alias("e"),
+                )
+            )
+            state = staged(beam_of(new.union(old)), "ann-beam")
+
+    def held(state: DataFrame) -> DataFrame:
+        return state.select("query_id", F.explode("beam").alias("e")).select("query_id", "e.node")
+
+    wanted = own.union(entries(ENTRIES, F.desc(norm))).distinct()
+    state = climbed(staged(beam_of(scored(wanted).select("query_id", entry(False).alias("e"))), "ann-beam"))
+    nearest = staged(nearest_by_all(index, placed, k + 1), "ann-nearest")
+    asked, n = nearest.count(), nodes.count()
+    while beam < n and nearest.join(held(state), ["query_id", "node"]).count() < recall * asked:
+        beam *= WIDER
+        more = ENTRIES * beam // BEAM // 2
+        wanted = held(state).union(entries(more, F.desc(norm))).union(entries(more, F.xxhash64("node"))).distinct()
+        # A node's neighbours that did not fit the narrower beam are met again, so no node counts as expanded.
+        state = climbed(staged(beam_of(scored(wanted).select("query_id", entry(False).alias("e"))), "ann-beam"))
     found = state.select("query_id", F.explode("beam").alias("e")).select("query_id", F.col("e.node").alias("node"), (-F.col("e.s")).alias("score"))
     # No query returns more of a node's members than k; those of the least ids come first.
     least = F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))
@@ -275,4 +336,5 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM) -> D
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     queries = usable(vectors).where("id % 20 = 0").select(F.col("id").alias("query_id"), F.col("v").alias("q"), F.col("id").alias("own"))
+    queries = queries.distinct()  # a row may be repeated whole
     return search(build_index(vectors), queries)

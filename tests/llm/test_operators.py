@@ -567,3 +567,22 @@ def test_chat_history_gives_way(spark):
         turns = spark.createDataFrame(costs(*said), "conv_id long, turn int, role string, text string")
         windows = chat.format_chat(turns, 2048, 512).collect()
         assert max(w["tokens"] for w in windows) <= 2048 and sum(w["n_turns"] - w["n_repeated"] for w in windows) == len(said)
+
+
+@pytest.mark.parametrize("kind", ["many components", "large components"])
+def test_recall_where_a_narrow_beam_misses(spark, kind):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((4000, 256) if kind == "many components" else (1500, 32))
+    if kind == "large components":  # whose products no single-precision number holds
+        x *= 1e25
+    frame = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>").repartition(3)
+    queries = neighbours.usable(frame).where("id % 20 = 0").select(F.col("id").alias("query_id"), F.col("v").alias("q"), F.col("id").alias("own"))
+    got: dict = {}
+    for r in neighbours.search(neighbours.build_index(frame), queries).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in range(0, len(x), 20):
+        s = x @ x[q]
+        hits += len(got[q] & {i for i in np.lexsort((np.arange(len(x)), -s)).tolist()[:21] if i != q})
+        assert len(got[q]) == 20
+    assert hits >= 0.95 * 20 * len(x) / 20
