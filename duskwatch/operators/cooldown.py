@@ -146,7 +146,7 @@ def pick_with_cooldown(candidates: DataFrame, key: str, time: str, cooldown_us:
         .where(F.col("grp").isNotNull() & F.col("chunk").isNotNull())
     )
     kind = dict(chunked.dtypes)
-    steps = chunked.groupBy("grp", "chunk").applyInPandas(
+    steps = chunked.select("grp", "chunk", "us").groupBy("grp", "chunk").applyInPandas(
         lambda pdf: _steps(pdf, cooldown_us, span), f"grp {kind['grp']}, chunk long, upto array<long>, leave array<long>"
     )
     entries = _entries(steps, kind["grp"])

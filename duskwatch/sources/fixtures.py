@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.clock import rfc3339_text
+from ..functions.clock import bind, rfc3339_text
 from ..schema import ACCEPTED_LOGIN, FAILED_LOGIN, PROCESS, conform, micros
 from .reference_data import watchlist_from_lines
 
@@ -112,7 +112,7 @@ def watched(spark: SparkSession) -> DataFrame:
 
 def log_lines(events: DataFrame) -> DataFrame:
     """Events rendered as log text; every accepted login is followed by lines that are no events."""
-    iso = rfc3339_text(micros())
+    events, iso = bind(events, {"iso": rfc3339_text(micros())}), F.col("iso")
     months = F.array(*[F.lit(m) for m in MONTH_NAMES])
     month = F.element_at(months, F.substring(iso, 6, 2).cast("int"))
     stamp = F.concat_ws(" ", month, F.substring(iso, 9, 2), F.substring(iso, 12, 8))

@@ -16,6 +16,7 @@ from duskwatch.operators.enrich import enrich_geo, enrich_geo_stream
 from duskwatch.operators.parse import DEFAULT_PARSERS, LineParser, events_of, parse_lines, quarantine_of
 from duskwatch.operators.thresholds import rapid_process_hits  # noqa: F401
 from duskwatch.schema import PROCESS
+from duskwatch.sources import fixtures as fx
 from duskwatch.sources.reference_data import GEO_SCHEMA, read_watchlist
 from duskwatch.sources.rules import load_rules
 
@@ -243,3 +244,9 @@ def test_odd_lines(spark):
 def test_watchlist_errors_are_not_swallowed(spark):
     with pytest.raises(Exception, match="nosuch"):
         read_watchlist(spark, "nosuch://place/list.txt")
+
+
+def test_log_lines_write_the_time_of_an_event_once(spark):
+    events = fx.security_events(spark, "/root/testdata/sf0.001")
+    plan = fx.log_lines(events)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("date_from_unix_date") == 1
