@@ -33,7 +33,7 @@ WORD = r"(?U)[^\s\x1c-\x1f\x85]"
 MOST_SIZE = (1 << 24) - 1
 
 
-def word_lines(texts: list[str | None], most_words: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def word_lines(texts: list[str | None], most_words: int = 150_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, line number, token hashes...) of the lines with words, in parts of about ``most_words`` words.
 
     Yields rows, line numbers and ``keys``: sorted distinct (line in part << 44 | token).

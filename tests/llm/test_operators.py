@@ -586,3 +586,17 @@ def test_recall_where_a_narrow_beam_misses(spark, kind):
         hits += len(got[q] & {i for i in np.lexsort((np.arange(len(x)), -s)).tolist()[:21] if i != q})
         assert len(got[q]) == 20
     assert hits >= 0.95 * 20 * len(x) / 20
+
+
+def test_a_worker_holds_few_words_at_once():
+    from duskwatch.llm.common import WordHashes
+
+    lines = "\n".join(" ".join(f"w{k}" for k in range(i, i + 10)) for i in range(0, 300_000, 10))
+    parts = list(linededup.word_lines([lines]))
+    assert max(len(keys) for _, _, keys in parts) <= 200_000
+    whole = next(linededup.word_lines([lines], most_words=10**6))
+    assert [n for _, numbers, _ in parts for n in numbers] == list(whole[1])
+    kept = WordHashes()
+    for i in range(250_000):
+        kept[f"w{i}"]
+    assert len(kept) <= 200_000
