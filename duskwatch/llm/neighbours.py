@@ -238,19 +238,53 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM, reca
     queries at once by joins with the graph and the vectors, until none is left.
     A query starts from its own node, if it is in the index, and from the ENTRIES nodes of the greatest length.
     How much that finds depends on the vectors, so it is measured: the nearest nodes of CHECKED queries are also taken
-    by comparison with all.  Until the beams hold the share ``recall`` of them, all queries go on with a beam WIDER times as wide
+    by comparison with all.  Until their beams hold the share ``recall`` of them, these few start again with a beam WIDER times as wide
     and as many more entries, half of them the longest nodes and half by a hash; a beam as wide as the index holds all nodes.
+    All queries then climb once, at the width found; a query's climb does not depend on the others.
 
     Defined cases: ties go to the smaller vec_id; fewer than ``k`` candidates are all returned if the
     search reaches them, as it does when there are no more than ENTRIES nodes; queries whose vector has another
     number of components than all nodes get no rows; no queries or an empty index: no rows.
     """
-    nodes = index.vectors.select("node", "v")
     placed = staged(queries, "ann-queries")
-    home = index.members.select(F.col("vec_id").alias("own"), "node")
-    norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    own = placed.join(home, "own").select("query_id", "node")
+    nearest = staged(nearest_by_all(index, placed, k + 1), "ann-nearest")
+    asked, n = nearest.count(), index.vectors.count()
+    few = staged(placed.join(nearest.select("query_id").distinct(), "query_id", "left_semi"), "ann-checked")
+    narrow = beam
+    while True:
+        state = climbed(index, few, beam, narrow)
+        held = F.array_contains(F.transform("beam", lambda e: e["node"]), F.col("node"))
+        if beam >= n or nearest.join(state, "query_id").where(held).count() >= recall * asked:
+            break
+        beam *= WIDER
+    if placed.count() > few.count():
+        state = climbed(index, placed, beam, narrow)
+    # The own id is all there is of some nodes; k others, and what is as near as the last of them, hold the result.
+    own = placed.join(index.members.select(F.col("vec_id").alias("own"), "node"), "own").groupBy("query_id").agg(F.count(F.lit(1)).alias("mine"))
+    last = F.element_at("beam", F.least(F.size("beam"), (k + F.coalesce("mine", F.lit(0))).cast("int")))["s"]
+    best = state.join(own, "query_id", "left").select("query_id", "beam", last.alias("last"))
+    found = best.select("query_id", F.explode(F.filter("beam", lambda e: e["s"] <= F.col("last"))).alias("e")).select("query_id", F.col("e.node").alias("node"), (-F.col("e.s")).alias("score"))
+    # No query returns more of a node's members than k; those of the least ids come first.
+    least = F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))
+    members = index.members.withColumn("rank", least).where(F.col("rank") <= k + 1).select("node", "vec_id")
+    every = found.join(members, "node").join(placed.select("query_id", "own"), "query_id").where(~F.col("vec_id").eqNullSafe(F.col("own")))
+    order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return every.withColumn("rank", order).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+# Nearest first, then by id: s is the negative score.
+BEAM_TYPE, FOUND_TYPE = "array<struct<s:double,node:long,expanded:boolean>>", "array<struct<s:double,node:long>>"
+
+
+def climbed(index: Index, placed: DataFrame, beam: int, narrow: int) -> DataFrame:
+    """(query_id, beam): the best ``beam`` nodes of each of the queries ``placed``, once each of them is expanded.
+
+    A query's state is one row throughout; only nodes it has not in its beam become rows, to be scored.
+    With a beam wider than ``narrow`` a query has more entries.
+    """
+    nodes, graph = index.vectors.select("node", "v"), index.graph.select("node", "ids")
     vectors_of = placed.select("query_id", "q")
+    step = max(1, beam // PART_EXPANDED)
 
     def entries(most: int, *order) -> DataFrame:
         """Pairs of each query with the first ``most`` nodes of its number of components."""
@@ -264,73 +298,53 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM, reca
             sizes = np.diff(q.offsets.to_numpy())
             product = q.flatten().to_numpy(zero_copy_only=False).astype(np.float64) * v.flatten().to_numpy(zero_copy_only=False)
             s = np.add.reduceat(product, np.cumsum(sizes) - sizes) if len(sizes) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("node"), pa.array(s)], names=["query_id", "node", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("node"), pa.array(-s)], names=["query_id", "node", "s"])
 
     def scored(pairs: DataFrame) -> DataFrame:
+        """(query_id, found): the nodes paired with each query."""
         met = pairs.join(nodes, "node").join(vectors_of, "query_id").where(F.size("q") == F.size("v")).select("query_id", "node", "q", "v")
-        return met.mapInArrow(score, "query_id long, node long, score double")
-
-    # The beam: (negative score, node, expanded), so that ascending order is nearest first, then by id.
-    def beam_of(rows: DataFrame) -> DataFrame:
-        most = beam
-
-        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ends, values = batch.column("beam").offsets.to_numpy(), batch.column("beam").values
-                s, node = values.field("s").to_numpy(), values.field("node").to_numpy()
-                kept = [a + np.lexsort((node[a:b], s[a:b]))[:most] for a, b in zip(ends, ends[1:], strict=False)]
-                sizes = np.cumsum([0, *map(len, kept)]).astype(np.int32)
-                best = values.take(pa.array(np.concatenate(kept))) if kept else values
-                yield pa.RecordBatch.from_arrays([batch.column("query_id"), pa.ListArray.from_arrays(pa.array(sizes), best)], names=["query_id", "beam"])
-
-        grouped = rows.groupBy("query_id").agg(F.collect_list("e").alias("beam"))
-        return grouped.mapInArrow(cut, "query_id long, beam array<struct<s:double,node:long,expanded:boolean>>")
-
-    def entry(expanded: bool):
-        return F.struct((-F.col("score")).alias("s"), F.col("node").alias("node"), F.lit(expanded).alias("expanded"))
-
-    def climbed(state: DataFrame) -> DataFrame:
-        """The beams once each of their nodes is expanded."""
-        while True:
-            chosen = F.slice(F.filter("beam", lambda e: ~e["expanded"]), 1, max(1, beam // PART_EXPANDED))
-            front = state.select("query_id", F.transform(chosen, lambda e: e["node"]).alias("front"), "beam").where(F.size("front") > 0)
-            if front.isEmpty():
-                return state
-            steps = front.select("query_id", F.explode("front").alias("node"))
-            near = steps.join(index.graph.select("node", "ids"), "node").select("query_id", F.explode("ids").alias("node")).distinct()
-            new = scored(near.join(held(state), ["query_id", "node"], "left_anti")).select("query_id", entry(False).alias("e"))
-            old = (
-                state.select("query_id", F.transform(chosen, lambda e: e["node"]).alias("front"), F.explode("beam").alias("e"))
-                .select(
-                    "query_id",
-                    F.struct(
-                        F.col("e.s").alias("s"), F.col("e.node").alias("node"),
-                        (F.col("e.expanded") | F.array_contains("front", F.col("e.node"))).alias("expanded"),
-                    ).alias("e"),
-                )
-            )
-            state = staged(beam_of(new.union(old)), "ann-beam")
+        rows = met.mapInArrow(score, "query_id long, node long, s double")
+        return rows.groupBy("query_id").agg(F.collect_list(F.struct("s", "node")).alias("found"))
 
-    def held(state: DataFrame) -> DataFrame:
-        return state.select("query_id", F.explode("beam").alias("e")).select("query_id", "e.node")
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            old, new = batch.column("beam"), batch.column("found")
+            s_old, node_old, expanded = (old.values.field(c).to_numpy(zero_copy_only=False) for c in ("s", "node", "expanded"))
+            s_new, node_new = (new.values.field(c).to_numpy(zero_copy_only=False) for c in ("s", "node"))
+            at, to = old.offsets.to_numpy(), new.offsets.to_numpy()
+            parts = []
+            for a, b, c, d in zip(at, at[1:], to, to[1:], strict=False):
+                done = np.zeros(b - a + d - c, bool)
+                done[: b - a] = expanded[a:b]
+                done[np.flatnonzero(~done[: b - a])[:step]] = True  # this round's front
+                s, node = np.concatenate([s_old[a:b], s_new[c:d]]), np.concatenate([node_old[a:b], node_new[c:d]])
+                best = np.lexsort((node, s))[:beam]
+                parts.append((s[best], node[best], done[best]))
+            columns = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0), np.zeros(0, np.int64), np.zeros(0, bool)]
+            ends = np.cumsum([0, *(len(x[0]) for x in parts)]).astype(np.int32)
+            beams = pa.StructArray.from_arrays([pa.array(x) for x in columns], names=["s", "node", "expanded"])
+            yield pa.RecordBatch.from_arrays([batch.column("query_id"), pa.ListArray.from_arrays(pa.array(ends), beams)], names=["query_id", "beam"])
+
+    def merged_beams(rows: DataFrame) -> DataFrame:
+        return staged(rows.mapInArrow(cut, f"query_id long, beam {BEAM_TYPE}"), "ann-beam")
 
-    wanted = own.union(entries(ENTRIES, F.desc(norm))).distinct()
-    state = climbed(staged(beam_of(scored(wanted).select("query_id", entry(False).alias("e"))), "ann-beam"))
-    nearest = staged(nearest_by_all(index, placed, k + 1), "ann-nearest")
-    asked, n = nearest.count(), nodes.count()
-    while beam < n and nearest.join(held(state), ["query_id", "node"]).count() < recall * asked:
-        beam *= WIDER
-        more = ENTRIES * beam // BEAM // 2
-        wanted = held(state).union(entries(more, F.desc(norm))).union(entries(more, F.xxhash64("node"))).distinct()
-        # A node's neighbours that did not fit the narrower beam are met again, so no node counts as expanded.
-        state = climbed(staged(beam_of(scored(wanted).select("query_id", entry(False).alias("e"))), "ann-beam"))
-    found = state.select("query_id", F.explode("beam").alias("e")).select("query_id", F.col("e.node").alias("node"), (-F.col("e.s")).alias("score"))
-    # No query returns more of a node's members than k; those of the least ids come first.
-    least = F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))
-    members = index.members.withColumn("rank", least).where(F.col("rank") <= k + 1).select("node", "vec_id")
-    every = found.join(members, "node").join(placed.select("query_id", "own"), "query_id").where(~F.col("vec_id").eqNullSafe(F.col("own")))
-    order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return every.withColumn("rank", order).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    home = index.members.select(F.col("vec_id").alias("own"), "node")
+    more = ENTRIES * beam // BEAM // 2
+    norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    wanted = placed.join(home, "own").select("query_id", "node").union(entries(max(ENTRIES, more), F.desc(norm)))
+    if beam > narrow:
+        wanted = wanted.union(entries(more, F.xxhash64("node")))
+    state = merged_beams(scored(wanted.distinct()).select("query_id", F.array().cast(BEAM_TYPE).alias("beam"), "found"))
+    while True:
+        front = F.slice(F.filter("beam", lambda e: ~e["expanded"]), 1, step)
+        steps = state.select("query_id", F.explode(F.transform(front, lambda e: e["node"])).alias("node"))
+        if steps.isEmpty():
+            return state
+        lists = steps.join(graph, "node").groupBy("query_id").agg(F.flatten(F.collect_list("ids")).alias("ids"))
+        held = state.select("query_id", F.transform("beam", lambda e: e["node"]).alias("held"))
+        near = lists.join(held, "query_id").select("query_id", F.explode(F.array_except("ids", "held")).alias("node"))
+        found = F.coalesce("found", F.array().cast(FOUND_TYPE)).alias("found")
+        state = merged_beams(state.join(scored(near), "query_id", "left").select("query_id", "beam", found))
 
 
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -588,6 +588,31 @@ def test_recall_where_a_narrow_beam_misses(spark, kind):
     assert hits >= 0.95 * 20 * len(x) / 20
 
 
+def test_all_queries_climb_once(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((1500, 32))
+    frame = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>").repartition(3)
+    queries = neighbours.usable(frame).where("id % 10 = 0").select(F.col("id").alias("query_id"), F.col("v").alias("q"), F.col("id").alias("own"))
+    index = neighbours.build_index(frame)
+    rounds, write = [], neighbours.staged
+
+    def staged(rows, purpose):
+        out = write(rows, purpose)
+        if purpose == "ann-beam":
+            rounds.append((out.count(), out.where(F.exists("beam", lambda e: ~e["expanded"])).count(), out.agg(F.max(F.size("beam"))).first()[0]))
+        return out
+
+    monkeypatch.setattr(neighbours, "staged", staged)
+    # A beam of 16 cannot hold the 21 nearest, so it widens.
+    got: dict = {}
+    for r in neighbours.search(index, queries, beam=16).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert sum(not going for n, going, _ in rounds if n == 150) == 1
+    assert max(width for _, _, width in rounds) >= 32 and {n for n, _, _ in rounds} == {neighbours.CHECKED, 150}
+    hits = sum(len(got[q] & {i for i in np.argsort(-(x @ x[q]))[:21].tolist() if i != q}) for q in range(0, 1500, 10))
+    assert hits >= 0.9 * 20 * 150
+
+
 def test_a_worker_holds_few_words_at_once():
     from duskwatch.llm.common import WordHashes
 
