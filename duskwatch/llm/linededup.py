@@ -136,7 +136,7 @@ def rarity_codes(lines: DataFrame) -> np.ndarray:
 ALONE = 6
 
 
-def prefixes(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int, only: np.ndarray | None = None) -> DataFrame:
+def prefixes(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int) -> DataFrame:
     """(key_1, key_2, size, parity, tokens): of each line the prefix tokens, rarest first, and what the filters need.
 
     Sets with at least ``percent`` similarity share a token among the first
@@ -145,13 +145,12 @@ def prefixes(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int,
     each block once as the later (role 1) and once as the earlier one (role 2).
     Of equal lines in one batch part, one stands for all.  Tokens whose
     bucket counts one line have no partner and are left out.  ``tokens`` packs 32
-    bits of each token, the number of tokens from it on and the role.  With ``only``, a sorted array of such
-    32 bits, other tokens are left out.
+    bits of each token, the number of tokens from it on and the role.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((codes, only))
+    shared = docs.sparkSession.sparkContext.broadcast(codes)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code_of, wanted = shared.value
+        code_of = shared.value
         blocks_of = np.maximum(1, np.ceil((np.exp2(np.arange(256) / 6) - 1) / block_lines)).astype(np.int64)
         for batch in batches:
             with no_gc():
@@ -177,9 +176,6 @@ def prefixes(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int,
                         order = np.argsort(of, kind="stable")
                         of, place, tokens, role = of[order], place[order], tokens[order], role[order]
                     high = (mixed(tokens) >> np.uint64(32) << np.uint64(32)).view(np.int64)
-                    if wanted is not None:
-                        met = np.isin(high >> 32, wanted)
-                        of, place, role, high = of[met], place[met], role[met], high[met]
                     lines, begin = np.unique(of, return_index=True)
                     packed = high | (np.minimum(sizes[of] - place, MOST_SIZE) << 2) | role
                     ends = np.append(begin, len(of)).astype(np.int32)
@@ -197,11 +193,15 @@ def prefixes(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int,
     return docs.select("text").mapInArrow(read, "key_1 long, key_2 long, size long, parity long, tokens array<long>")
 
 
-def postings(docs: DataFrame, classes: DataFrame, codes: np.ndarray, percent: int, block_lines: int, only: np.ndarray | None = None) -> DataFrame:
-    """(token, line, parity): a row for each line class and prefix token; ``line`` is the class's number and size."""
-    numbered = prefixes(docs, codes, percent, block_lines, only).join(classes.select("key_1", "key_2", "c"), ["key_1", "key_2"])
+def postings(docs: DataFrame, classes: DataFrame, codes: np.ndarray, percent: int, block_lines: int) -> DataFrame:
+    """(token, line, parity): a row for each line class and prefix token; ``line`` is the class's number and size.
+
+    Written once by class, so that who reads it again does not split and hash the texts again.
+    """
+    numbered = prefixes(docs, codes, percent, block_lines).join(classes.select("key_1", "key_2", "c"), ["key_1", "key_2"])
     line = F.shiftleft("c", 24) + F.col("size")
-    return numbered.select(F.explode("tokens").alias("token"), line.alias("line"), "parity")
+    written = staged(numbered.select("tokens", line.alias("line"), "parity"), "line-prefixes")
+    return written.select(F.explode("tokens").alias("token"), "line", "parity")
 
 
 def in_blocks(of, place, ranked, blocks, key) -> tuple:
@@ -348,11 +348,9 @@ def repeated_classes(docs: DataFrame, classes: DataFrame, codes: np.ndarray, per
     n = groups.count()
     if not n:
         return settled
-    only = np.array(sorted(r["group"] for r in groups.collect()), dtype=np.int64) if n <= MOST_BROADCAST else None
-    again = postings(docs, classes, codes, percent, block_lines, only)
-    parts = {"c": F.shiftright("line", 24), "size": F.col("line").bitwiseAND(MOST_SIZE), "group": token, "rest": F.shiftright(F.col("token").bitwiseAND(0xFFFFFFFF), 2), "role": F.col("token").bitwiseAND(3)}
-    again = again.withColumns(parts).drop("token", "line")
-    every = staged((again if only is not None else again.join(groups, "group", "left_semi")).distinct(), "line-groups")
+    again = posted.withColumn("group", token).join(F.broadcast(groups) if n <= MOST_BROADCAST else groups, "group", "left_semi")
+    parts = {"c": F.shiftright("line", 24), "size": F.col("line").bitwiseAND(MOST_SIZE), "rest": F.shiftright(F.col("token").bitwiseAND(0xFFFFFFFF), 2), "role": F.col("token").bitwiseAND(3)}
+    every = staged(again.withColumns(parts).drop("token", "line").distinct(), "line-groups")
     x, y = every.where("role % 2 = 1").join(left, ["c", "group"], "left_semi").alias("x"), every.where("role >= 2").alias("y")
     both = F.col("x.size") + F.col("y.size")
     need = F.ceil(both * percent / (100 + percent) - 1e-9)

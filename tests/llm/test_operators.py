@@ -613,6 +613,25 @@ def test_all_queries_climb_once(spark, monkeypatch):
     assert hits >= 0.9 * 20 * 150
 
 
+def test_prefixes_are_taken_once(spark, monkeypatch):
+    # Lines leave their groups after two candidates with nothing confirmed, so the groups are read again.
+    rng = random.Random(9)
+    base = [f"k{i}" for i in range(40)]
+    rows = [(i, " ".join(w for w in base if w not in out)) for i in range(120) for out in [rng.sample(base, 5)]]
+    calls, purposes, read, write = [], [], linededup.prefixes, linededup.staged
+    monkeypatch.setattr(linededup, "prefixes", lambda *a, **b: calls.append(1) or read(*a, **b))
+    monkeypatch.setattr(linededup, "staged", lambda rows, purpose: purposes.append(purpose) or write(rows, purpose))
+    first = linededup.first_matches
+    monkeypatch.setattr(linededup, "first_matches", lambda posted, percent: first(posted, percent, enough=2))
+    for most in (linededup.MOST_BROADCAST, 0):
+        monkeypatch.setattr(linededup, "MOST_BROADCAST", most)
+        calls.clear()
+        purposes.clear()
+        got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == all_earlier(rows, 80)
+        assert "line-groups" in purposes and len(calls) == 1
+
+
 def test_a_worker_holds_few_words_at_once():
     from duskwatch.llm.common import WordHashes
 
