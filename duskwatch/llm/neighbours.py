@@ -250,15 +250,15 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM, reca
     nearest = staged(nearest_by_all(index, placed, k + 1), "ann-nearest")
     asked, n = nearest.count(), index.vectors.count()
     few = staged(placed.join(nearest.select("query_id").distinct(), "query_id", "left_semi"), "ann-checked")
-    narrow = beam
+    narrow, n_few, n_all = beam, few.count(), placed.count()
     while True:
-        state = climbed(index, few, beam, narrow)
+        state = climbed(index, few, n_few, beam, narrow)
         held = F.array_contains(F.transform("beam", lambda e: e["node"]), F.col("node"))
         if beam >= n or nearest.join(state, "query_id").where(held).count() >= recall * asked:
             break
         beam *= WIDER
-    if placed.count() > few.count():
-        state = climbed(index, placed, beam, narrow)
+    if n_all > n_few:
+        state = climbed(index, placed, n_all, beam, narrow)
     # The own id is all there is of some nodes; k others, and what is as near as the last of them, hold the result.
     own = placed.join(index.members.select(F.col("vec_id").alias("own"), "node"), "own").groupBy("query_id").agg(F.count(F.lit(1)).alias("mine"))
     last = F.element_at("beam", F.least(F.size("beam"), (k + F.coalesce("mine", F.lit(0))).cast("int")))["s"]
@@ -274,17 +274,21 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM, reca
 
 # Nearest first, then by id: s is the negative score.
 BEAM_TYPE, FOUND_TYPE = "array<struct<s:double,node:long,expanded:boolean>>", "array<struct<s:double,node:long>>"
+# Beams of so many places in all are a bounded table: what they ask for goes to the graph and the vectors, not the other way.
+MOST_PLACES = 1 << 15
 
 
-def climbed(index: Index, placed: DataFrame, beam: int, narrow: int) -> DataFrame:
-    """(query_id, beam): the best ``beam`` nodes of each of the queries ``placed``, once each of them is expanded.
+def climbed(index: Index, placed: DataFrame, asked: int, beam: int, narrow: int) -> DataFrame:
+    """(query_id, beam): the best ``beam`` nodes of each of the ``asked`` queries ``placed``, once each of them is expanded.
 
-    A query's state is one row throughout; only nodes it has not in its beam become rows, to be scored.
-    With a beam wider than ``narrow`` a query has more entries.
+    A query's state is one row throughout; only nodes it has not in its beam become rows, to be scored where
+    their vectors are.  With a beam wider than ``narrow`` a query has more entries.
     """
     nodes, graph = index.vectors.select("node", "v"), index.graph.select("node", "ids")
     vectors_of = placed.select("query_id", "q")
     step = max(1, beam // PART_EXPANDED)
+    little = asked * beam <= MOST_PLACES
+    sent = F.broadcast if little else (lambda rows: rows)
 
     def entries(most: int, *order) -> DataFrame:
         """Pairs of each query with the first ``most`` nodes of its number of components."""
@@ -302,31 +306,25 @@ def climbed(index: Index, placed: DataFrame, beam: int, narrow: int) -> DataFram
 
     def scored(pairs: DataFrame) -> DataFrame:
         """(query_id, found): the nodes paired with each query."""
-        met = pairs.join(nodes, "node").join(vectors_of, "query_id").where(F.size("q") == F.size("v")).select("query_id", "node", "q", "v")
-        rows = met.mapInArrow(score, "query_id long, node long, s double")
+        if little:
+            met = nodes.join(sent(pairs), "node").join(sent(vectors_of), "query_id")
+        else:  # pairs are dealt out by query already, so the query's vector goes with them
+            met = pairs.join(vectors_of, "query_id").join(nodes, "node")
+        rows = met.where(F.size("q") == F.size("v")).select("query_id", "node", "q", "v").mapInArrow(score, "query_id long, node long, s double")
         return rows.groupBy("query_id").agg(F.collect_list(F.struct("s", "node")).alias("found"))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            old, new = batch.column("beam"), batch.column("found")
-            s_old, node_old, expanded = (old.values.field(c).to_numpy(zero_copy_only=False) for c in ("s", "node", "expanded"))
-            s_new, node_new = (new.values.field(c).to_numpy(zero_copy_only=False) for c in ("s", "node"))
-            at, to = old.offsets.to_numpy(), new.offsets.to_numpy()
-            parts = []
-            for a, b, c, d in zip(at, at[1:], to, to[1:], strict=False):
-                done = np.zeros(b - a + d - c, bool)
-                done[: b - a] = expanded[a:b]
-                done[np.flatnonzero(~done[: b - a])[:step]] = True  # this round's front
-                s, node = np.concatenate([s_old[a:b], s_new[c:d]]), np.concatenate([node_old[a:b], node_new[c:d]])
-                best = np.lexsort((node, s))[:beam]
-                parts.append((s[best], node[best], done[best]))
-            columns = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0), np.zeros(0, np.int64), np.zeros(0, bool)]
-            ends = np.cumsum([0, *(len(x[0]) for x in parts)]).astype(np.int32)
-            beams = pa.StructArray.from_arrays([pa.array(x) for x in columns], names=["s", "node", "expanded"])
-            yield pa.RecordBatch.from_arrays([batch.column("query_id"), pa.ListArray.from_arrays(pa.array(ends), beams)], names=["query_id", "beam"])
-
     def merged_beams(rows: DataFrame) -> DataFrame:
-        return staged(rows.mapInArrow(cut, f"query_id long, beam {BEAM_TYPE}"), "ann-beam")
+        """(query_id, beam) of (query_id, beam, found), with this round's front marked."""
+        last = F.try_element_at(F.slice(F.filter("beam", lambda e: ~e["expanded"]), 1, step), F.lit(-1))
+        before = (F.col("beam"), F.col("last.s"), F.col("last.node"))
+
+        def mark(e):
+            front = (e["s"] < before[1]) | ((e["s"] == before[1]) & (e["node"] <= before[2]))
+            return F.struct(e["s"].alias("s"), e["node"].alias("node"), (e["expanded"] | F.coalesce(front, F.lit(False))).alias("expanded"))
+
+        new = F.transform("found", lambda e: F.struct(e["s"].alias("s"), e["node"].alias("node"), F.lit(False).alias("expanded")))
+        best = F.slice(F.sort_array(F.concat(F.transform(before[0], mark), new)), 1, beam)
+        return staged(rows.withColumn("last", last).select("query_id", best.cast(BEAM_TYPE).alias("beam")), "ann-beam")
 
     home = index.members.select(F.col("vec_id").alias("own"), "node")
     more = ENTRIES * beam // BEAM // 2
@@ -340,11 +338,11 @@ def climbed(index: Index, placed: DataFrame, beam: int, narrow: int) -> DataFram
         steps = state.select("query_id", F.explode(F.transform(front, lambda e: e["node"])).alias("node"))
         if steps.isEmpty():
             return state
-        lists = steps.join(graph, "node").groupBy("query_id").agg(F.flatten(F.collect_list("ids")).alias("ids"))
-        held = state.select("query_id", F.transform("beam", lambda e: e["node"]).alias("held"))
+        lists = graph.join(sent(steps), "node").groupBy("query_id").agg(F.flatten(F.collect_list("ids")).alias("ids"))
+        held = sent(state.select("query_id", F.transform("beam", lambda e: e["node"]).alias("held")))
         near = lists.join(held, "query_id").select("query_id", F.explode(F.array_except("ids", "held")).alias("node"))
         found = F.coalesce("found", F.array().cast(FOUND_TYPE)).alias("found")
-        state = merged_beams(state.join(scored(near), "query_id", "left").select("query_id", "beam", found))
+        state = merged_beams(state.join(sent(scored(near)), "query_id", "left").select("query_id", "beam", found))
 
 
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -644,3 +644,22 @@ def test_a_worker_holds_few_words_at_once():
     for i in range(250_000):
         kept[f"w{i}"]
     assert len(kept) <= 200_000
+
+
+def test_a_climb_asks_the_workers_once_a_round(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((1500, 32))
+    frame = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>").repartition(3)
+    queries = neighbours.usable(frame).where("id % 10 = 0").select(F.col("id").alias("query_id"), F.col("v").alias("q"), F.col("id").alias("own"))
+    index = neighbours.build_index(frame)
+    plans, write = [], neighbours.staged
+    monkeypatch.setattr(neighbours, "staged", lambda rows, purpose: plans.append((purpose, rows._jdf.queryExecution().executedPlan().toString())) or write(rows, purpose))
+    results = []
+    for most in (neighbours.MOST_PLACES, 0):
+        monkeypatch.setattr(neighbours, "MOST_PLACES", most)
+        results.append(sorted(map(tuple, neighbours.search(index, queries).collect())))
+    assert results[0] == results[1]
+    beams = [p for purpose, p in plans if purpose == "ann-beam"]
+    assert beams and all(p.count("MapInArrow") == 1 for p in beams)
+    # The few measured queries go to the graph and the vectors, which are not dealt out for them.
+    assert min(p.count("SortMergeJoin") for p in beams) == 0
