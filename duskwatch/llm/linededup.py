@@ -8,11 +8,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duskwatch.llm.common import MIX_1, mixed, no_gc, ranked, staged, table, word_hashes
+from duskwatch.llm.common import MIX_1, mixed, no_gc, ranked, staged, table
 
 PERCENT = 80
 # Token counts are kept by hash bucket, so what the driver broadcasts is 1 MB for any corpus.
@@ -33,33 +34,93 @@ WORD = r"(?U)[^\s\x1c-\x1f\x85]"
 MOST_SIZE = (1 << 24) - 1
 
 
+# What str.split() takes as white space, as bytes of UTF-8: single ones, and the sequences of two and three.
+SPACE = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
+SPACES_2 = np.array([0xC285, 0xC2A0])
+SPACES_3 = np.array([0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
+# The first so many bytes of eight, as an integer; words beyond MOST_WORD_BYTES are hashed one by one.
+FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+MOST_WORD_BYTES = 256
+
+
+def wide_spaces_out(data: np.ndarray) -> None:
+    """Turns white space beyond ASCII into spaces, in place; ``data`` ends with spaces."""
+    at = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+    lead, second, third = (data[at + k].astype(np.int64) for k in range(3))
+    two = at[np.isin(lead << 8 | second, SPACES_2)]
+    three = at[np.isin(lead << 16 | second << 8 | third, SPACES_3)]
+    for where, width in ((two, 2), (three, 3)):
+        for k in range(width):
+            data[where + k] = 32
+
+
+def hashes_at(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words data[start:end], eight bytes at a time; eight bytes follow the last word."""
+    eight = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    left = ends - starts
+    h = left.astype(np.uint64) * MIX_1
+    long = np.flatnonzero(left > MOST_WORD_BYTES)
+    now, at = np.flatnonzero(left <= MOST_WORD_BYTES) if len(long) else slice(None), starts
+    if len(long):
+        at, left = starts[now], left[now]
+    while len(at):
+        h[now] = mixed(h[now] ^ (eight[at] & FIRST_BYTES[np.minimum(left, 8)]))
+        more = np.flatnonzero(left > 8)
+        now = more if isinstance(now, slice) else now[more]
+        at, left = at[more] + 8, left[more] - 8
+    for k in long.tolist():
+        h[k] = xxhash.xxh64_intdigest(data[starts[k] : ends[k]].tobytes())
+    return h
+
+
 def word_lines(texts: list[str | None], most_words: int = 150_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, line number, token hashes...) of the lines with words, in parts of about ``most_words`` words.
 
-    Yields rows, line numbers and ``keys``: sorted distinct (line in part << 44 | token).
+    Yields rows, line numbers and ``keys``: sorted distinct (line in part << 44 | token).  Texts are
+    taken together, as bytes, up to some bytes a word; words are found and hashed for all of them at once.
     """
-    rows, numbers, words, sizes, total = [], [], [], [], 0
-
-    def part():
-        h = word_hashes(w for ws in words for w in ws) >> np.uint64(64 - TOKEN_BITS)
-        line = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
-        keys = np.sort((line << np.uint64(TOKEN_BITS)) | h)
-        return np.array(rows), np.array(numbers), keys[np.append(True, keys[1:] != keys[:-1])]
+    most_words = min(most_words, 1 << 20)
+    most_bytes = 8 * most_words
+    pieces, total = [], 0  # (row, number of the first line, bytes)
+
+    def parts():
+        data = np.frombuffer(bytearray(b" " + b"\n".join(p for _, _, p in pieces) + b"\n" + b" " * 8), dtype=np.uint8)
+        if (data >= 0x80).any():
+            wide_spaces_out(data)
+        space = SPACE[data]
+        starts, ends = (np.flatnonzero(x) + 1 for x in (space[:-1] > space[1:], space[:-1] < space[1:]))
+        breaks = np.flatnonzero(data == 10)
+        upto = np.searchsorted(starts, breaks)
+        sizes = np.diff(upto, prepend=0)
+        lines = [p.count(b"\n") + 1 for _, _, p in pieces]
+        rows = np.repeat([r for r, _, _ in pieces], lines)
+        numbers = np.concatenate([np.arange(first, first + n) for (_, first, _), n in zip(pieces, lines, strict=True)])
+        some = np.flatnonzero(sizes)
+        begin, sizes, rows, numbers = (upto - sizes)[some], sizes[some], rows[some], numbers[some]
+        part = begin // most_words
+        cuts = [*np.flatnonzero(np.append(True, part[1:] != part[:-1])).tolist(), len(part)] if len(part) else []
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            words = slice(begin[i], begin[j - 1] + sizes[j - 1])
+            h = hashes_at(data, starts[words], ends[words]) >> np.uint64(64 - TOKEN_BITS)
+            line = np.repeat(np.arange(j - i, dtype=np.uint64), sizes[i:j])
+            keys = np.sort((line << np.uint64(TOKEN_BITS)) | h)
+            yield rows[i:j], numbers[i:j], keys[np.append(True, keys[1:] != keys[:-1])]
 
     for row, text in enumerate(texts):
-        for number, line in enumerate((text or "").lower().split("\n")):
-            ws = line.split()
-            if ws:
-                rows.append(row)
-                numbers.append(number)
-                words.append(ws)
-                sizes.append(len(ws))
-                total += len(ws)
-                if total >= most_words or len(rows) >= 1 << 19:
-                    yield part()
-                    rows, numbers, words, sizes, total = [], [], [], [], 0
-    if rows:
-        yield part()
+        data, at, first = (text or "").lower().encode(), 0, 0
+        while at <= len(data):
+            end = data.find(b"\n", at + most_bytes)
+            piece = data[at:] if end < 0 else data[at:end]
+            pieces.append((row, first, piece))
+            total += len(piece)
+            if total >= most_bytes:
+                yield from parts()
+                pieces, total = [], 0
+            if end < 0:
+                break
+            at, first = end + 1, first + piece.count(b"\n") + 1
+    if pieces:
+        yield from parts()
 
 
 def line_starts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +227,8 @@ def prefixes(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int)
                     place = np.arange(len(ranked_tokens)) - starts[of]
                     prefix = sizes - (sizes * percent + 99) // 100 + 1
                     first = np.zeros(len(starts), dtype=bool)
-                    first[np.unique(np.stack([one, two]), axis=1, return_index=True)[1]] = True
+                    order = np.lexsort((two, one))
+                    first[order] = np.append(True, (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]]))
                     keep = (place < prefix[of]) & first[of] & ((ranked_tokens & LOW_TOKEN) >> np.uint64(36) > ALONE)
                     of, place, tokens = of[keep], place[keep], ranked_tokens[keep] & LOW_TOKEN
                     role = np.full(len(of), 3, dtype=np.int64)
@@ -176,7 +238,8 @@ def prefixes(docs: DataFrame, codes: np.ndarray, percent: int, block_lines: int)
                         order = np.argsort(of, kind="stable")
                         of, place, tokens, role = of[order], place[order], tokens[order], role[order]
                     high = (mixed(tokens) >> np.uint64(32) << np.uint64(32)).view(np.int64)
-                    lines, begin = np.unique(of, return_index=True)
+                    begin = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else np.zeros(0, np.int64)
+                    lines = of[begin]
                     packed = high | (np.minimum(sizes[of] - place, MOST_SIZE) << 2) | role
                     ends = np.append(begin, len(of)).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
@@ -312,10 +375,12 @@ def confirmed(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            keep, last, b = [], None, set()
             with no_gc():
                 for x, y in zip(batch.column("line").to_pylist(), batch.column("other").to_pylist(), strict=True):
-                    a, b = set(x.split()), set(y.split())
+                    if y != last:  # pairs come by their earlier line
+                        last, b = y, set(y.split())
+                    a = set(x.split())
                     both = len(a & b)
                     keep.append(100 * both >= percent * (len(a) + len(b) - both))
             yield batch.select(["c"]).filter(pa.array(keep, pa.bool_()))

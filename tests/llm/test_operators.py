@@ -663,3 +663,25 @@ def test_a_climb_asks_the_workers_once_a_round(spark, monkeypatch):
     assert beams and all(p.count("MapInArrow") == 1 for p in beams)
     # The few measured queries go to the graph and the vectors, which are not dealt out for them.
     assert min(p.count("SortMergeJoin") for p in beams) == 0
+
+
+def test_words_are_found_without_a_loop_over_them(monkeypatch):
+    def none(*_):
+        raise AssertionError("hashed word by word")
+
+    spaces = [c for c in map(chr, range(0x110000)) if c.isspace()]
+    texts = [None, "", "A b\n\n a B \n" + "".join(f"w{k}{c}" for k, c in enumerate(spaces)), "Éİ x" + "y" * 40 + "\n" + "z" * 8 + " " + "z" * 9, "y\n" * 50]
+    monkeypatch.setattr(linededup.xxhash, "xxh64_intdigest", none, raising=False)
+    for most in (1, 20, 10**5):
+        sets = {}
+        for rows, numbers, keys in linededup.word_lines(texts, most_words=most):
+            for line, (row, number) in enumerate(zip(rows.tolist(), numbers.tolist(), strict=True)):
+                assert (row, number) not in sets
+                sets[row, number] = {k & ((1 << 44) - 1) for k in keys.tolist() if k >> 44 == line}
+        want = {(r, n): set(x.split()) for r, t in enumerate(texts) for n, x in enumerate((t or "").lower().split("\n")) if x.split()}
+        token = {}
+        assert sets.keys() == want.keys() and all(len(sets[k]) == len(want[k]) for k in want)
+        for k, words in sorted(want.items()):
+            if len(words) == 1:
+                assert token.setdefault(*words, sets[k]) == sets[k]
+        assert sets[2, 0] == sets[2, 2]
