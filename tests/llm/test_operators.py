@@ -685,3 +685,39 @@ def test_words_are_found_without_a_loop_over_them(monkeypatch):
             if len(words) == 1:
                 assert token.setdefault(*words, sets[k]) == sets[k]
         assert sets[2, 0] == sets[2, 2]
+
+
+def test_a_round_passes_on_only_what_may_be_kept(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    frame = spark.createDataFrame(list(enumerate(rng.standard_normal((2500, 24)).tolist())), "vec_id long, embedding array<double>").repartition(3)
+    passed, merge = [], neighbours.merged
+
+    def merged(rows, degree):
+        passed.append(rows.where("not old").agg(F.sum(F.size("ids"))).first()[0])
+        return merge(rows, degree)
+
+    monkeypatch.setattr(neighbours, "merged", merged)
+    index = neighbours.build_index(frame, rounds=4)
+    # The leaves are the first; later, lists are nearly full of what they keep.
+    assert len(passed) >= 3 and passed[-1] < passed[1] / 4
+    assert index.graph.where("size(ids) = 32 and array_size(array_distinct(ids)) = 32 and not array_contains(ids, node)").count() == 2500
+
+
+def test_a_query_asks_a_block_once(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((600, 12)).astype(np.float32)
+    rows = [(i, v) for i, v in enumerate(x.tolist())] + [(1000 + i, v[:5]) for i, v in enumerate(x[:40].tolist())]
+    index = neighbours.build_index(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3), rounds=1)
+    held = {r["node"]: np.array(r["v"], dtype=np.float64) for r in index.vectors.collect()}
+    asked = spark.createDataFrame([(q, x[q].tolist(), last, [*held, 17]) for q, last in ((0, float("inf")), (1, 0.0), (2, -1.0))], "query_id long, q array<float>, last double, ids array<long>")
+    written: list = []
+    frame, kind = type(index.vectors), type(index.vectors).mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, *a, **b: written.append(self) or kind(self, *a, **b))
+    got = {r["query_id"]: {e["node"]: e["s"] for e in r["found"]} for r in neighbours.scored(index, asked).collect()}
+    # Of 640 nodes asked for by each query, some rows a block go to the workers.
+    assert len(written) == 1 and written[0].count() <= index.blocks.count() + 3 * 2**index.bits < 640
+    for q, last in ((0, float("inf")), (1, 0.0), (2, -1.0)):
+        want = {n: -float(x[q].astype(np.float64) @ v) for n, v in held.items() if len(v) == 12}
+        assert got[q] == pytest.approx({n: s for n, s in want.items() if s <= last})
+    few = {r["query_id"]: {e["node"]: e["s"] for e in r["found"]} for r in neighbours.scored_few(index, asked).collect()}
+    assert all(got[q] == {n: s for n, s in few[q].items() if s <= last} for q, last in ((0, float("inf")), (1, 0.0), (2, -1.0)))
